@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
 from veldtab.functions.columns import long_form, name
+from veldtab.sources.storage import write_through
 
 # Planned input size up to which a first-level bucket is sorted by one task.
 TWO_LEVEL_BYTES = 1 << 30
@@ -63,12 +64,13 @@ def plan_bytes(df: DataFrame) -> int:
 
 
 def prefix_sum(df: DataFrame, keys: list[str], value: str, sums: list[str], *,
-               levels: int | None = None) -> DataFrame:
+               levels: int | None = None, integers: bool = False) -> DataFrame:
     """Running sums of ``sums`` by ascending ``value`` inside each ``keys`` group.
 
     The result has one row per (keys, value) with, for every summed column ``s``: ``s``,
     ``below_s`` (sum over smaller values) and ``total_s`` (sum over the group).
-    Values must be finite doubles; null values are left out.
+    Values must be finite doubles, or non-negative 60-bit integers with ``integers``; null values are
+    left out.
 
     Three levels bound every window. Inputs whose planned size is under ``TWO_LEVEL_BYTES`` skip the
     middle level, which saves two shuffles; both ways are exact.
@@ -76,14 +78,15 @@ def prefix_sum(df: DataFrame, keys: list[str], value: str, sums: list[str], *,
     if levels is None:
         levels = 2 if plan_bytes(df) <= TWO_LEVEL_BYTES else 3
     key_cols = [name(k) for k in keys]
-    val = name(value).cast("double")
+    val = name(value).cast("bigint" if integers else "double")
+    coarse_of, fine_of = (integer_coarse_key, integer_fine_key) if integers else (coarse_key, fine_key)
     distinct = (df.where(val.isNotNull())
                 .groupBy(*key_cols, val.alias(value))
                 .agg(*[F.sum(name(s)).alias(s) for s in sums])
-                .withColumn("_coarse", coarse_key(name(value))))
+                .withColumn("_coarse", coarse_of(name(value))))
     bucket = ["_coarse"]
     if levels == 3:
-        distinct = distinct.withColumn("_fine", fine_key(name(value)))
+        distinct = distinct.withColumn("_fine", fine_of(name(value)))
         bucket = ["_coarse", "_fine"]
 
     def before(column: str, window: WindowSpec) -> Column:
@@ -120,55 +123,90 @@ def prefix_sum(df: DataFrame, keys: list[str], value: str, sums: list[str], *,
         *[name(f"total_{s}") for s in sums])
 
 
+# Rows of one first-level bucket that one task may sort.
+LEAF_ROWS = 4_000_000
+# Rank tables up to this many rows stay on the driver between two passes; larger ones go to storage.
+PINNED_ROWS = 200_000
+
+
+def pin(df: DataFrame) -> DataFrame:
+    """Run a small table now, so that the passes that follow do not repeat its plan."""
+    return _pin(df)[0]
+
+
+def _pin(df: DataFrame, largest: str | None = None) -> tuple[DataFrame, int]:
+    """The pinned table and the largest value of one of its integer columns."""
+    head = df.limit(PINNED_ROWS + 1).toArrow()
+    if head.num_rows <= PINNED_ROWS:
+        top = max((v for v in head.column(largest).to_pylist()), default=0) if largest else 0
+        return df.sparkSession.createDataFrame(head, df.schema), top
+    stored = write_through(df, "ranks")
+    return stored, (stored.agg(F.max(largest)).first()[0] if largest else 0)
+
+
 def select_ranks(df: DataFrame, keys: list[str], value: str,
                  ranks: Callable[[Column], list[tuple[Column, Column]]], *,
                  integers: bool = False) -> DataFrame:
     """Exact order statistics per group: rows (keys, tag, value, group_rows).
 
     ``ranks(n)`` gets the number of non-null values in the group and returns (tag, zero-based rank)
-    pairs; a rank outside the group gives no row. Rows are never sorted or shuffled: each level
-    shuffles one histogram of the buckets that still hold a wanted rank. The broadcast tables hold
-    one row per (group, wanted bucket) and are bounded by groups times ranks.
+    pairs; a rank outside the group gives no row. Rows are never sorted or shuffled: each of at
+    most three passes shuffles one histogram of the buckets that still hold a wanted rank. The tables carried
+    from pass to pass have one row per group and rank. Groups with a null key are left out.
+
+    The middle pass is left out when no wanted first-level bucket has more than ``LEAF_ROWS`` rows.
     """
     key_cols = [name(k) for k in keys]
-    dtype = "bigint" if integers else "double"
-    coarse_of, fine_of = ((integer_coarse_key, integer_fine_key) if integers
-                          else (coarse_key, fine_key))
-    rows = (df.select(*key_cols, name(value).cast(dtype).alias("_value"))
-            .where(F.col("_value").isNotNull())
-            .withColumn("_coarse", coarse_of(F.col("_value"))))
-
+    if integers:
+        # Hash integers are never null; saying so keeps the optimizer from computing them twice.
+        val = F.coalesce(name(value).cast("bigint"), F.lit(0).cast("bigint"))
+        rows = df.select(*key_cols, val.alias("_value"))
+        coarse_of, fine_of = integer_coarse_key, integer_fine_key
+    else:
+        rows = df.select(*key_cols, name(value).cast("double").alias("_value")).where(F.col("_value").isNotNull())
+        coarse_of, fine_of = coarse_key, fine_key
+    rows = rows.withColumn("_coarse", coarse_of(F.col("_value")))
     group = Window.partitionBy(*key_cols) if keys else Window.partitionBy(F.lit(0))
 
-    def below(window):
+    def below(window: WindowSpec) -> Column:
         return F.coalesce(F.sum("_n").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
     first = (rows.groupBy(*key_cols, "_coarse").agg(F.count("*").alias("_n"))
              .withColumn("_below", below(group.orderBy("_coarse")))
              .withColumn("group_rows", F.sum("_n").over(group)))
-    wanted = F.array(*[F.struct(tag.alias("tag"), rank.cast("bigint").alias("rank"))
+    wanted = F.array(*[F.struct(tag.cast("int").alias("tag"), rank.cast("bigint").alias("rank"))
                        for tag, rank in ranks(F.col("group_rows"))])
     inside = (F.col("_want.rank") >= F.col("_below")) & (F.col("_want.rank") < F.col("_below") + F.col("_n"))
-    first = (first.withColumn("_want", F.explode(wanted)).where(inside)
-             .select(*key_cols, "_coarse", "group_rows", F.col("_want.tag").alias("tag"),
-                     (F.col("_want.rank") - F.col("_below")).alias("_rank")))
+    first, crowded = _pin(
+        first.withColumn("_want", F.explode(wanted)).where(inside)
+        .select(*key_cols, "_coarse", "group_rows", F.col("_want.tag").alias("tag"), F.col("_n").alias("_bucket_rows"),
+                (F.col("_want.rank") - F.col("_below")).alias("_rank")), "_bucket_rows")
+    first = first.drop("_bucket_rows")
 
-    open_coarse = first.select(*key_cols, "_coarse").distinct()
-    second = (rows.join(F.broadcast(open_coarse), [*keys, "_coarse"], "left_semi")
+    hit = (F.col("_rank") >= F.col("_below")) & (F.col("_rank") < F.col("_below") + F.col("_n"))
+    bucket = [*keys, "_coarse"]
+    if crowded <= LEAF_ROWS:
+        return _leaf_ranks(rows, first, key_cols, bucket, value, hit, below)
+    second = (rows.join(F.broadcast(first.select(*bucket).distinct()), bucket, "left_semi")
               .withColumn("_fine", fine_of(F.col("_value")))
               .groupBy(*key_cols, "_coarse", "_fine").agg(F.count("*").alias("_n"))
               .withColumn("_below", below(Window.partitionBy(*key_cols, "_coarse").orderBy("_fine"))))
-    hit = (F.col("_rank") >= F.col("_below")) & (F.col("_rank") < F.col("_below") + F.col("_n"))
-    second = (second.join(F.broadcast(first), [*keys, "_coarse"]).where(hit)
-              .select(*key_cols, "_coarse", "_fine", "group_rows", "tag",
-                      (F.col("_rank") - F.col("_below")).alias("_rank")))
-
-    open_fine = second.select(*key_cols, "_coarse", "_fine").distinct()
-    third = (rows.withColumn("_fine", fine_of(F.col("_value")))
-             .join(F.broadcast(open_fine), [*keys, "_coarse", "_fine"], "left_semi")
-             .groupBy(*key_cols, "_coarse", "_fine", "_value").agg(F.count("*").alias("_n"))
-             .withColumn("_below", below(Window.partitionBy(*key_cols, "_coarse", "_fine").orderBy("_value"))))
-    return (third.join(F.broadcast(second), [*keys, "_coarse", "_fine"]).where(hit)
+    second = pin(second.join(F.broadcast(first), bucket).where(hit)
+                 .select(*key_cols, "_coarse", "_fine", "group_rows", "tag",
+                         (F.col("_rank") - F.col("_below")).alias("_rank")))
+
+    rows = rows.withColumn("_fine", fine_of(F.col("_value")))
+    return _leaf_ranks(rows, second, key_cols, [*keys, "_coarse", "_fine"], value, hit, below)
+
+
+def _leaf_ranks(rows: DataFrame, wanted: DataFrame, key_cols: list[Column], bucket: list[str], value: str,
+                hit: Column, below: Callable[[WindowSpec], Column]) -> DataFrame:
+    """Last pass: distinct values of the wanted buckets, each bucket in order."""
+    by_bucket = [name(b) for b in bucket]
+    counted = (rows.join(F.broadcast(wanted.select(*by_bucket).distinct()), bucket, "left_semi")
+               .groupBy(*by_bucket, "_value").agg(F.count("*").alias("_n"))
+               .withColumn("_below", below(Window.partitionBy(*by_bucket).orderBy("_value"))))
+    return (counted.join(F.broadcast(wanted), bucket).where(hit)
             .select(*key_cols, "tag", F.col("_value").alias(value), "group_rows"))
 
 

@@ -15,7 +15,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veldtab.functions.columns import chunks, long_form, name, one_row_agg, quoted
+from veldtab.functions.columns import chunks, long_form, name, numeric_columns, one_row_agg, quoted
 from veldtab.functions.ordering import collect_quantiles, prefix_sum
 from veldtab.operators.drift import category_counts, numeric_long
 from veldtab.sources.storage import write_through
@@ -60,9 +60,13 @@ def mode_table(df: DataFrame, cols: list[str]) -> DataFrame:
 
     Counts per value come first, so the choice is between distinct values, not rows.
     """
+    numbers = numeric_columns(df)
     counts = category_counts(df, cols)
     tops = counts.groupBy("feature").agg(F.max("n").alias("n"))
-    return (counts.join(tops, ["feature", "n"]).groupBy("feature").agg(F.min("category").alias("category"), F.max("n").alias("n")))
+    as_number = F.when(F.col("feature").isin(*numbers), F.col("category").try_cast("double")) if numbers else F.lit(None).cast("double")
+    order = F.struct(as_number.alias("number"), F.col("category").alias("text"))
+    return (counts.join(tops, ["feature", "n"]).groupBy("feature")
+            .agg(F.min_by("category", order).alias("category"), F.max("n").alias("n")))
 
 
 def fit_mode_imputer(df: DataFrame, cols: list[str]) -> Imputer:

@@ -15,6 +15,9 @@ from veldtab.functions.columns import name
 from veldtab.functions.moments import ratio
 from veldtab.functions.ordering import exact_quantiles
 
+# Halving steps of the candidate search: arrays of up to 4095 candidates.
+SEARCH_STEPS = tuple(2 ** k for k in range(11, -1, -1))
+MAX_CANDIDATES = 4095
 MODES = ("f1", "fbeta", "precision_at_recall", "recall_at_precision", "disabled")
 
 
@@ -42,6 +45,8 @@ class ThresholdPolicy:
 def candidate_thresholds(df: DataFrame, p: str = "p", n_quantiles: int = 200) -> DataFrame:
     """Distinct interior quantiles of the score plus one half, inside [0, 1]: column ``threshold``."""
     n = max(1, n_quantiles)
+    if n >= MAX_CANDIDATES:
+        raise ValueError(f"at most {MAX_CANDIDATES - 1} quantiles")
     probabilities = [i / (n + 1) for i in range(1, n + 1)]
     quantiles = exact_quantiles(df.select(name(p).cast("double").alias("_p")), [], "_p", probabilities)
     half = df.sparkSession.range(1).select(F.lit(0.5).alias("threshold"))
@@ -59,10 +64,12 @@ def threshold_scores(df: DataFrame, candidates: DataFrame, y: str = "y", p: str
     binned = (df.select(name(p).cast("double").alias("_p"), (name(y) == 1).cast("bigint").alias("_pos"))
               .where(p_col.isNotNull())
               .crossJoin(F.broadcast(listed)))  # one row of candidates
-    # Number of candidates not above the score, found by binary search over the sorted array.
-    reached = _candidates_reached(F.col("_cuts"), p_col)
-    histogram = (binned.select(reached.alias("_bin"), "_pos").groupBy("_bin")
-                 .agg(F.sum("_pos").alias("_pos"), F.count("*").alias("_n")))
+    # Number of candidates not above the score, by halving steps over the sorted array.
+    steps = F.array(*[F.lit(v) for v in SEARCH_STEPS])
+    reached = F.aggregate(steps, F.lit(0), lambda at, step: at + F.when(
+        F.try_element_at(F.col("_cuts"), at + step) <= p_col, step).otherwise(F.lit(0)))
+    binned = binned.select(reached.alias("_bin"), "_pos")
+    histogram = binned.groupBy("_bin").agg(F.sum("_pos").alias("_pos"), F.count("*").alias("_n"))
     by_cut = (listed.select(F.posexplode("_cuts").alias("_i", "threshold"))
               .select((F.col("_i") + 1).alias("_bin"), "threshold"))
     rows = (histogram.join(by_cut, "_bin", "full_outer")
@@ -75,15 +82,6 @@ def threshold_scores(df: DataFrame, candidates: DataFrame, y: str = "y", p: str
     return _scored(counted, beta)
 
 
-def _candidates_reached(cuts: Column, p: Column) -> Column:
-    """How many sorted cuts are <= p, in 12 halving steps (arrays of up to 4095 cuts)."""
-    position = F.lit(0)
-    for step in (2048, 1024, 512, 256, 128, 64, 32, 16, 8, 4, 2, 1):
-        ahead = F.try_element_at(cuts, (position + step).cast("int"))
-        position = position + F.when(ahead <= p, F.lit(step)).otherwise(F.lit(0))
-    return position
-
-
 def _scored(counted: DataFrame, beta: float) -> DataFrame:
     precision, recall = ratio(F.col("tp"), F.col("support")), ratio(F.col("tp"), F.col("positives"))
     b2 = float(beta) ** 2
@@ -103,13 +101,17 @@ def fixed_threshold_scores(df: DataFrame, threshold: float, y: str = "y", p: str
 
 
 def tune_threshold(df: DataFrame, policy: ThresholdPolicy = ThresholdPolicy(), metric: str | None = None,
-                   y: str = "y", p: str = "p") -> DataFrame:
-    """One row: the chosen threshold, its scores, the objective and F1 at one half."""
+                   y: str = "y", p: str = "p", scores: DataFrame | None = None) -> DataFrame:
+    """One row: the chosen threshold, its scores, the objective and F1 at one half.
+
+    ``scores`` (``threshold_scores`` with the same beta) spares the pass when several policies compete.
+    """
     policy = policy.resolved(metric)
     plain = fixed_threshold_scores(df, 0.5, y, p, 1.0)
     if policy.mode == "disabled":
         return plain.select("*", F.col("f1").alias("objective"), F.col("f1").alias("f1_at_half"))
-    scores = threshold_scores(df, candidate_thresholds(df, p, policy.n_quantiles), y, p, policy.beta)
+    if scores is None:
+        scores = threshold_scores(df, candidate_thresholds(df, p, policy.n_quantiles), y, p, policy.beta)
     order = {"f1": ("f1", None, None), "fbeta": ("fbeta", None, None),
              "precision_at_recall": ("precision", "recall", policy.min_recall),
              "recall_at_precision": ("recall", "precision", policy.min_precision)}

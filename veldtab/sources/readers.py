@@ -54,12 +54,11 @@ def read_csv(spark: SparkSession, paths: list[str], schema: T.StructType | str |
         return inferred.csv(paths)
     sampled = inferred.option("samplingRatio", sampling_ratio).csv(paths).schema
     checked = T.StructType([*sampled.fields, T.StructField("_corrupt_record", T.StringType())])
-    corrupt = (reader.schema(checked).option("mode", "PERMISSIVE")
-               .option("columnNameOfCorruptRecord", "_corrupt_record").csv(paths)
-               .where(F.col("_corrupt_record").isNotNull()))
-    # Every column must be parsed for a row to be found corrupt.
-    touched = corrupt.select(F.xxhash64(*[name(c) for c in sampled.names]), "_corrupt_record").limit(1)
-    if touched.isEmpty():
+    parsed = (reader.schema(checked).option("mode", "PERMISSIVE")
+              .option("columnNameOfCorruptRecord", "_corrupt_record").csv(paths))
+    # The hash makes the aggregate read every column; a row is found corrupt only where it is parsed.
+    seen = parsed.agg(F.count("_corrupt_record"), F.max(F.xxhash64(*[name(c) for c in sampled.names]))).first()
+    if not seen[0]:
         return reader.schema(sampled).csv(paths)
     return inferred.csv(paths)
 
