@@ -68,10 +68,10 @@ def scored_multi(spark: SparkSession, sf: str) -> DataFrame:
     """Order priority as class 0..4 and five probabilities from the bytes of the key's md5."""
     o = table(spark, sf, "orders")
     h = F.md5(F.col("o_orderkey").cast("string"))
-    raw = [F.conv(F.substring(h, 2 * i + 1, 2), 16, 10).cast("double") + 1 for i in range(5)]
-    total = sum(raw[1:], raw[0])
-    base = o.select("o_orderkey", (F.substring("o_orderpriority", 1, 1).cast("int") - 1).alias("y"),
-                    F.array(*[x / total for x in raw]).alias("probs"))
+    raw = F.transform(F.sequence(F.lit(1), F.lit(9), F.lit(2)), lambda i: F.conv(F.substr(h, i, F.lit(2)), 16, 10).cast("double") + 1)
+    weighed = o.select("o_orderkey", (F.substring("o_orderpriority", 1, 1).cast("int") - 1).alias("y"), raw.alias("w"))
+    total = F.aggregate("w", F.lit(0.0), lambda acc, v: acc + v)
+    base = weighed.select("o_orderkey", "y", F.transform("w", lambda v: v / total).alias("probs"))
     return base.withColumn("pred", F.array_position("probs", F.array_max("probs")).cast("int") - 1)
 
 

@@ -50,12 +50,12 @@ def fine_key(value: Column) -> Column:
 
 
 def integer_coarse_key(value: Column) -> Column:
-    """First-level bucket of a non-negative 60-bit integer: its top 16 bits."""
-    return F.shiftright(value, 44)
+    """First-level bucket of a non-negative 60-bit integer: its top 12 bits."""
+    return F.shiftright(value, 48)
 
 
 def integer_fine_key(value: Column) -> Column:
-    return F.shiftright(value, 22)
+    return F.shiftright(value, 26)
 
 
 def plan_bytes(df: DataFrame) -> int:
@@ -144,13 +144,16 @@ def _pin(df: DataFrame, largest: str | None = None) -> tuple[DataFrame, int]:
     return stored, (stored.agg(F.max(largest)).first()[0] if largest else 0)
 
 
+def rank_list(pairs: list[tuple[int, Column]]) -> Column:
+    return F.array(*[F.struct(F.lit(tag).cast("int").alias("tag"), rank.cast("bigint").alias("rank")) for tag, rank in pairs])
+
+
 def select_ranks(df: DataFrame, keys: list[str], value: str,
-                 ranks: Callable[[Column], list[tuple[Column, Column]]], *,
-                 integers: bool = False) -> DataFrame:
+                 ranks: Callable[[Column], Column], *, integers: bool = False) -> DataFrame:
     """Exact order statistics per group: rows (keys, tag, value, group_rows).
 
-    ``ranks(n)`` gets the number of non-null values in the group and returns (tag, zero-based rank)
-    pairs; a rank outside the group gives no row. Rows are never sorted or shuffled: each of at
+    ``ranks(n)`` gets the number of non-null values in the group and returns an array of
+    (tag, zero-based rank) structs (``rank_list``); a rank outside the group gives no row. Rows are never sorted or shuffled: each of at
     most three passes shuffles one histogram of the buckets that still hold a wanted rank. The tables carried
     from pass to pass have one row per group and rank. Groups with a null key are left out.
 
@@ -174,11 +177,9 @@ def select_ranks(df: DataFrame, keys: list[str], value: str,
     first = (rows.groupBy(*key_cols, "_coarse").agg(F.count("*").alias("_n"))
              .withColumn("_below", below(group.orderBy("_coarse")))
              .withColumn("group_rows", F.sum("_n").over(group)))
-    wanted = F.array(*[F.struct(tag.cast("int").alias("tag"), rank.cast("bigint").alias("rank"))
-                       for tag, rank in ranks(F.col("group_rows"))])
     inside = (F.col("_want.rank") >= F.col("_below")) & (F.col("_want.rank") < F.col("_below") + F.col("_n"))
     first, crowded = _pin(
-        first.withColumn("_want", F.explode(wanted)).where(inside)
+        first.withColumn("_want", F.explode(ranks(F.col("group_rows")))).where(inside)
         .select(*key_cols, "_coarse", "group_rows", F.col("_want.tag").alias("tag"), F.col("_n").alias("_bucket_rows"),
                 (F.col("_want.rank") - F.col("_below")).alias("_rank")), "_bucket_rows")
     first = first.drop("_bucket_rows")
@@ -212,18 +213,18 @@ def _leaf_ranks(rows: DataFrame, wanted: DataFrame, key_cols: list[Column], buck
 
 def exact_quantiles(df: DataFrame, keys: list[str], value: str, probabilities: list[float]) -> DataFrame:
     """Linearly interpolated exact quantiles: rows (keys, probability, quantile, group_rows)."""
-    def ranks(n: Column):
-        out = []
-        for i, p in enumerate(probabilities):
-            position = (n - 1) * F.lit(float(p))
-            out.append((F.lit(2 * i), F.floor(position)))
-            out.append((F.lit(2 * i + 1), F.least(F.floor(position) + 1, n - 1)))
-        return out
+    listed = F.lit([float(p) for p in probabilities])
+
+    def ranks(n: Column) -> Column:
+        # Even tags hold the lower neighbour of a probability's position, odd tags the upper one.
+        def one(tag: Column) -> Column:
+            low = F.floor((n - 1) * F.element_at(listed, F.shiftright(tag, 1) + 1))
+            return F.struct(tag.alias("tag"), F.least(low + tag % 2, n - 1).cast("bigint").alias("rank"))
+        return F.transform(F.sequence(F.lit(0), F.lit(2 * len(probabilities) - 1)), one)
 
     picked = select_ranks(df, keys, value, ranks)
     key_cols = [name(k) for k in keys]
-    probability = F.element_at(F.array(*[F.lit(float(p)) for p in probabilities]),
-                               (F.floor(F.col("tag") / 2) + 1).cast("int"))
+    probability = F.element_at(listed, F.shiftright("tag", 1) + 1)
     sides = (picked.groupBy(*key_cols, probability.alias("probability"), "group_rows")
              .agg(F.min(name(value)).alias("_lo"), F.max(name(value)).alias("_hi")))
     position = (F.col("group_rows") - 1) * F.col("probability")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from veldtab.functions.columns import name
 from veldtab.functions.hashing import HASH_SPACE, hash_order
-from veldtab.functions.ordering import select_ranks
+from veldtab.functions.ordering import rank_list, select_ranks
 
 
 def hash_cuts(df: DataFrame, class_col: str | None, key_cols: list[str], seed: int,
@@ -30,8 +30,8 @@ def hash_cuts(df: DataFrame, class_col: str | None, key_cols: list[str], seed: i
     n_cuts = len(sizes(F.lit(1)))
 
     def ranks(n: Column):
-        cut = [(F.lit(i), F.least(size.cast("bigint"), n) - 1) for i, size in enumerate(sizes(n))]
-        return [*cut, (F.lit(n_cuts), n - 1)]
+        cut = [(i, F.least(size.cast("bigint"), n) - 1) for i, size in enumerate(sizes(n))]
+        return rank_list([*cut, (n_cuts, n - 1)])
 
     picked = select_ranks(keyed, keys, "_hash", ranks, integers=True)
     cut = lambda i: F.coalesce(F.max(F.when(F.col("tag") == i, F.col("_hash"))), F.lit(-1)).cast("bigint")
@@ -127,7 +127,7 @@ def time_blocks(df: DataFrame, time_col: str, k: int = 5, *, out: str = "block")
     """
     micros = _as_number(df, time_col)
     size = lambda n: F.floor(n / (k + 1))
-    ranks = lambda n: [(F.lit(i), n - size(n) * (k - i)) for i in range(k)]
+    ranks = lambda n: rank_list([(i, n - size(n) * (k - i)) for i in range(k)])
     cuts = select_ranks(df.select(micros.alias("_t")), [], "_t", ranks)
     cuts = cuts.agg(F.array_sort(F.collect_list("_t")).alias("_cuts"))  # k numbers
     index = F.size(F.filter("_cuts", lambda c: c <= F.col("_t")))
