@@ -19,7 +19,7 @@ def connect(sf: str) -> duckdb.DuckDBPyConnection:
 
 def _plain(v):
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else round(v + 0.0, 6)
+        return "nan" if math.isnan(v) else round(v + 0.0, 9)
     if isinstance(v, (list, tuple)):
         return tuple(_plain(x) for x in v)
     if isinstance(v, dict):

@@ -217,10 +217,10 @@ def target_encoding(df: DataFrame, cols: list[str], y: str, keys: list[str] = ()
     long = long_form(base, [*keys, "_y"], cols, "string", value="category").where("category is not null")
     stats = long.groupBy(*[name(k) for k in keys], "feature", "category").agg(
         F.count("*").alias("n"), F.avg("_y").alias("m"), F.var_pop("_y").alias("v"))
-    overall = base.groupBy(*[name(k) for k in keys]).agg(F.avg("_y").alias("g"), F.var_pop("_y").alias("V"))
+    overall = base.groupBy(*[name(k) for k in keys]).agg(F.avg("_y").alias("g"), F.var_pop("_y").alias("gv"))
     # One row without keys, one per fold with them.
     joined = stats.join(F.broadcast(overall), list(keys)) if keys else stats.crossJoin(F.broadcast(overall))
-    s = F.when(F.col("V") > 0, F.col("v") / F.col("V")).otherwise(F.lit(0.0))
+    s = F.when(F.col("gv") > 0, F.col("v") / F.col("gv")).otherwise(F.lit(0.0))
     encoding = (F.col("n") * F.col("m") + s * F.col("g")) / (F.col("n") + s)
     return joined.select(*[name(k) for k in keys], "feature", "category", "n", encoding.alias("encoding"))
 
@@ -259,13 +259,13 @@ def cross_fit_encoding(df: DataFrame, col: str, y: str, fold: str, folds: int, o
     yv = name(y).cast("double")
     cell = df.groupBy(name(fold).alias("_f"), name(col).cast("string").alias("_k")).agg(
         F.count(yv).alias("n"), F.sum(yv).alias("s"), F.sum(yv * yv).alias("q"))
-    category = cell.groupBy("_k").agg(F.sum("n").alias("cn"), F.sum("s").alias("cs"), F.sum("q").alias("cq"))
+    category = cell.groupBy(F.col("_k").alias("_c")).agg(F.sum("n").alias("cn"), F.sum("s").alias("cs"), F.sum("q").alias("cq"))
     fold_sums = cell.groupBy("_f").agg(F.sum("n").alias("fn"), F.sum("s").alias("fs"), F.sum("q").alias("fq"))
     total = cell.agg(F.sum("n").alias("tn"), F.sum("s").alias("ts"), F.sum("q").alias("tq"))
     frame = fold_sums.crossJoin(F.broadcast(total)).select(  # one row per fold
         "_f", (F.col("tn") - F.col("fn")).alias("gn"), ((F.col("ts") - F.col("fs")) / (F.col("tn") - F.col("fn"))).alias("g"),
         ((F.col("tq") - F.col("fq")) / (F.col("tn") - F.col("fn"))).alias("gq"))
-    joined = cell.join(category, F.col("_k").eqNullSafe(category["_k"])).drop(category["_k"]).join(F.broadcast(frame), "_f")
+    joined = cell.join(category, F.col("_k").eqNullSafe(F.col("_c"))).join(F.broadcast(frame), "_f")
     n = F.col("cn") - F.col("n")
     m = (F.col("cs") - F.col("s")) / F.nullif(n, F.lit(0))
     v = F.greatest(F.lit(0.0), (F.col("cq") - F.col("q")) / F.nullif(n, F.lit(0)) - m * m)
@@ -273,9 +273,8 @@ def cross_fit_encoding(df: DataFrame, col: str, y: str, fold: str, folds: int, o
     s = F.when(overall_v > 0, v / overall_v).otherwise(F.lit(0.0))
     encoding = F.when(n > 0, (n * m + s * F.col("g")) / (n + s)).otherwise(F.col("g"))
     table = joined.select("_f", "_k", encoding.alias(out))
-    keyed = df.withColumns({"_f": name(fold), "_k2": name(col).cast("string")})
-    return (keyed.join(table, (keyed["_f"] == table["_f"]) & keyed["_k2"].eqNullSafe(table["_k"]), "left")
-            .drop("_f", "_k", "_k2"))
+    same = (name(fold) == F.col("_f")) & name(col).cast("string").eqNullSafe(F.col("_k"))
+    return df.join(table, same, "left").drop("_f", "_k")
 
 
 # -- column selection and generation -------------------------------------------------------------
