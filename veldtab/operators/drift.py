@@ -76,8 +76,12 @@ def ks_against(reference: DataFrame, new: DataFrame, cols: list[str], keys: list
     ``reference`` is (feature, value, n). The distance is largest at, or just below, a value of the
     new group, so the reference is ranked once over all values and joined to the groups' values.
     """
+    return ks_counts(reference, value_counts(new, cols, keys), keys)
+
+
+def ks_counts(reference: DataFrame, counted: DataFrame, keys: list[str] = ()) -> DataFrame:
+    """``ks_against`` from counts (keys, feature, value, n) of the new data."""
     keys = list(keys)
-    counted = value_counts(new, cols, keys)
     ranked_new = prefix_sum(counted.select(*[name(k) for k in keys], "feature", "value", "n"),
                             [*keys, "feature"], "value", ["n"])
     points = (reference.select("feature", "value", F.col("n").alias("r"))
