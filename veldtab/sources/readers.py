@@ -46,21 +46,22 @@ def read_csv(spark: SparkSession, paths: list[str], schema: T.StructType | str |
     A value that does not fit its type would become null silently, so sampled inference is
     followed by a check of the corrupt-record column and a full scan when rows are corrupt.
     """
-    reader = spark.read.option("header", True)
+    def reader(**options):
+        # A reader keeps the options it was given, so every read starts from a new one.
+        return spark.read.options(header=True, **options)
+
     if schema is not None:
-        return reader.schema(schema).csv(paths)
-    inferred = reader.option("inferSchema", True)
+        return reader().schema(schema).csv(paths)
     if sampling_ratio >= 1.0:
-        return inferred.csv(paths)
-    sampled = inferred.option("samplingRatio", sampling_ratio).csv(paths).schema
+        return reader(inferSchema=True).csv(paths)
+    sampled = reader(inferSchema=True, samplingRatio=sampling_ratio).csv(paths).schema
     checked = T.StructType([*sampled.fields, T.StructField("_corrupt_record", T.StringType())])
-    parsed = (reader.schema(checked).option("mode", "PERMISSIVE")
-              .option("columnNameOfCorruptRecord", "_corrupt_record").csv(paths))
+    parsed = reader(mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt_record").schema(checked).csv(paths)
     # The hash makes the aggregate read every column; a row is found corrupt only where it is parsed.
     seen = parsed.agg(F.count("_corrupt_record"), F.max(F.xxhash64(*[name(c) for c in sampled.names]))).first()
     if not seen[0]:
-        return reader.schema(sampled).csv(paths)
-    return inferred.csv(paths)
+        return reader().schema(sampled).csv(paths)
+    return reader(inferSchema=True).csv(paths)
 
 
 def read_table(spark: SparkSession, pattern: str, *, schema: T.StructType | str | None = None,
@@ -81,7 +82,8 @@ def read_table(spark: SparkSession, pattern: str, *, schema: T.StructType | str
             continue
         reader = spark.read.schema(schema) if schema is not None else spark.read
         if kind == "parquet":
-            frame = reader.option("mergeSchema", True).parquet(*paths)
+            # Footers of all files are only compared when several paths may differ in columns.
+            frame = reader.option("mergeSchema", len(paths) > 1 and schema is None).parquet(*paths)
         else:
             frame = reader.option("multiLine", kind == "json").json(paths)
         frames.append(_traced(frame, provenance))

@@ -74,11 +74,18 @@ def window_counts(stream: DataFrame, time_col: str, cols: list[str], *, width: s
 
     State is one counter per distinct value and open window, so a window with a hot value stays small.
     """
-    timed = stream.select(name(time_col).cast("timestamp").alias("_ts"), *[name(c).cast("double").alias(c) for c in cols])
+    wall_clock = stream.schema[time_col].dataType.typeName() == "timestamp_ntz"
+    zone = F.current_timezone()
+    # Watermarks need an instant; wall-clock times are read as UTC so that windows start at midnight.
+    ts = F.convert_timezone(F.lit("UTC"), zone, name(time_col)).cast("timestamp") if wall_clock else name(time_col)
+    timed = stream.select(ts.alias("_ts"), *[name(c).cast("double").alias(c) for c in cols])
     long = long_form(timed.withWatermark("_ts", delay), ["_ts"], cols, "double")
     counted = (long.withColumn("value", finite(F.col("value"))).where("value is not null")
                .groupBy(F.window("_ts", width), "feature", "value").agg(F.count("*").alias("n")))
-    return counted.select(F.col("window.start").alias("window_start"), "feature", "value", "n")
+    start = F.col("window.start")
+    if wall_clock:
+        start = F.convert_timezone(zone, F.lit("UTC"), start.cast("timestamp_ntz"))
+    return counted.select(start.alias("window_start"), "feature", "value", "n")
 
 
 def window_drift(reference: DataFrame, counts: DataFrame) -> DataFrame:
