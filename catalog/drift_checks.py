@@ -8,6 +8,7 @@ from catalog.base import SQL_DRIFT, SQL_MONITOR, chi2_sf, drift_new, drift_ref,
 from veldtab.operators import drift as D
 from veldtab.operators import monitor as W
 from veldtab.plans.drift_report import drift_report
+from veldtab.sources.storage import fresh_path
 
 NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 CAT = ["l_returnflag", "l_linestatus", "l_linenumber"]
@@ -140,8 +141,11 @@ M_NUM, M_CAT = ["value", "user_id"], ["event_type"]
 
 
 def _reference(spark, sf):
+    """The reference profile, saved and read back: checks never touch the reference rows."""
     ref = monitor_events(spark, sf).where("day <= 10").drop("event_id", "ts", "day")
-    return W.build_profile(ref, M_NUM, M_CAT, ROLES)
+    path = fresh_path(spark, "profile")
+    W.build_profile(ref, M_NUM, M_CAT, ROLES).save(path)
+    return W.ReferenceProfile.load(spark, path)
 
 
 def _batches(spark, sf):

@@ -46,9 +46,7 @@ def _(spark, sf):
 @query("m3_stream_monitor")
 def _(spark, sf):
     """One drift check per arriving micro-batch; counters come from the history."""
-    profile_path = fresh_path(spark, "profile")
-    _reference(spark, sf).save(profile_path)
-    profile = W.ReferenceProfile.load(spark, profile_path)
+    profile = _reference(spark, sf)
     new = monitor_events(spark, sf).where("day > 10").drop("event_id", "ts", "day")
     path = _landed(new, spark, "monitor_in", 4)
     stream = S.read_files(spark, path, new.schema, kind="parquet", files_per_batch=2)

@@ -21,7 +21,7 @@ from veldtab.functions.columns import long_form, name
 from veldtab.sources.storage import write_through
 
 # Planned input size up to which a first-level bucket is sorted by one task.
-TWO_LEVEL_BYTES = 1 << 30
+TWO_LEVEL_BYTES = 4 << 30
 
 
 def _leading_bits(value: Column, dropped: int) -> Column:
@@ -34,9 +34,8 @@ def _leading_bits(value: Column, dropped: int) -> Column:
         scaled = c * F.lit(float(2 ** dropped + 1))
         return scaled - (scaled - c)
 
-    shrink = F.lit(2.0 ** -60)
     return (F.when(F.abs(value) < 1e290, split(value))
-            .otherwise(split(value * shrink) / shrink))
+            .otherwise(split(value * F.lit(2.0 ** -60)) * F.lit(2.0 ** 60)))
 
 
 def coarse_key(value: Column) -> Column:
@@ -59,8 +58,8 @@ def integer_fine_key(value: Column) -> Column:
 
 
 def plan_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a plan; huge when the source does not know its size."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    """Size estimate of the analyzed plan, without a job; huge when a source does not know its size."""
+    return int(df._jdf.queryExecution().analyzed().stats().sizeInBytes())
 
 
 def prefix_sum(df: DataFrame, keys: list[str], value: str, sums: list[str], *,
@@ -152,7 +151,7 @@ def select_ranks(df: DataFrame, keys: list[str], value: str,
                  ranks: Callable[[Column], Column], *, integers: bool = False) -> DataFrame:
     """Exact order statistics per group: rows (keys, tag, value, group_rows).
 
-    ``ranks(n)`` gets the number of non-null values in the group and returns an array of
+    ``ranks(n)`` gets the number of finite values in the group and returns an array of
     (tag, zero-based rank) structs (``rank_list``); a rank outside the group gives no row. Rows are never sorted or shuffled: each of at
     most three passes shuffles one histogram of the buckets that still hold a wanted rank. The tables carried
     from pass to pass have one row per group and rank. Groups with a null key are left out.
@@ -160,21 +159,23 @@ def select_ranks(df: DataFrame, keys: list[str], value: str,
     The middle pass is left out when no wanted first-level bucket has more than ``LEAF_ROWS`` rows.
     """
     key_cols = [name(k) for k in keys]
+    # Missing values go to one last bucket instead of through a filter, and the value is never null:
+    # a null test on it would make the optimizer compute the value's expression once more per test.
     if integers:
-        # Hash integers are never null; saying so keeps the optimizer from computing them twice.
-        val = F.coalesce(name(value).cast("bigint"), F.lit(0).cast("bigint"))
-        rows = df.select(*key_cols, val.alias("_value"))
+        val = F.coalesce(name(value).cast("bigint"), F.lit(-1).cast("bigint"))
         coarse_of, fine_of = integer_coarse_key, integer_fine_key
     else:
-        rows = df.select(*key_cols, name(value).cast("double").alias("_value")).where(F.col("_value").isNotNull())
+        val = F.coalesce(name(value).cast("double"), F.lit(float("nan")))
         coarse_of, fine_of = coarse_key, fine_key
+    rows = df.select(*key_cols, val.alias("_value"))
     rows = rows.withColumn("_coarse", coarse_of(F.col("_value")))
     group = Window.partitionBy(*key_cols) if keys else Window.partitionBy(F.lit(0))
 
     def below(window: WindowSpec) -> Column:
         return F.coalesce(F.sum("_n").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
-    first = (rows.groupBy(*key_cols, "_coarse").agg(F.count("*").alias("_n"))
+    present = (F.col("_coarse") >= 0) if integers else ~F.isnan("_coarse")
+    first = (rows.groupBy(*key_cols, "_coarse").agg(F.count("*").alias("_n")).where(present)
              .withColumn("_below", below(group.orderBy("_coarse")))
              .withColumn("group_rows", F.sum("_n").over(group)))
     inside = (F.col("_want.rank") >= F.col("_below")) & (F.col("_want.rank") < F.col("_below") + F.col("_n"))

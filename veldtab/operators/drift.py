@@ -222,6 +222,13 @@ def duplicate_rate(df: DataFrame) -> DataFrame:
     return per_row.agg((1 - F.count("*") / F.nullif(F.sum("_n"), F.lit(0))).alias("duplicate_rate"))
 
 
+def duplicate_change(ref: DataFrame, new: DataFrame) -> DataFrame:
+    """One row: both duplicate rates and their difference."""
+    rates = duplicate_rate(ref).withColumnRenamed("duplicate_rate", "duplicate_rate_reference").crossJoin(
+        duplicate_rate(new).withColumnRenamed("duplicate_rate", "duplicate_rate_new"))  # one row by one row
+    return rates.withColumn("delta", F.col("duplicate_rate_new") - F.col("duplicate_rate_reference"))
+
+
 def quality_drift(ref: DataFrame, new: DataFrame, alpha: float = ALPHA) -> DataFrame:
     """(column, reference_missing_rate, new_missing_rate, delta, changed, all_null_new, constant_new)."""
     a = column_quality(ref).select("column", F.col("missing_rate").alias("reference_missing_rate"))
@@ -238,9 +245,7 @@ def quality_summary(ref: DataFrame, new: DataFrame, alpha: float = ALPHA) -> Dat
     listed = lambda cond: F.array_sort(F.collect_list(F.when(F.col(cond), F.col("column"))))
     one = per_column.agg(listed("changed").alias("missing_rate_changes"), listed("all_null_new").alias("all_null_columns_new"),
                          listed("constant_new").alias("constant_columns_new"))
-    rates = duplicate_rate(ref).withColumnRenamed("duplicate_rate", "duplicate_rate_reference").crossJoin(
-        duplicate_rate(new).withColumnRenamed("duplicate_rate", "duplicate_rate_new"))
-    delta = F.col("duplicate_rate_new") - F.col("duplicate_rate_reference")
+    rates, delta = duplicate_change(ref, new), F.col("delta")
     limit = max(0.05, alpha)
     return one.crossJoin(rates).select(  # one row by one row
         ((F.size("missing_rate_changes") > 0) | (F.size("all_null_columns_new") > 0) | (F.abs(delta) >= limit)).alias("drift_detected"),

@@ -5,11 +5,10 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import (
@@ -21,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veldtab.functions.columns import name, quoted
+from veldtab.functions.jobs import in_parallel
 from veldtab.operators import metrics as M
 from veldtab.operators import prep as E
 from veldtab.operators.profiling import PROBABILITY_METRICS, FeatureRoles
@@ -191,12 +191,6 @@ def fit_multiclass(train: DataFrame, n_classes: int, params: TreeParams = TreePa
         cached.unpersist()
 
 
-def in_parallel(fn: Callable, items, workers: int = 4) -> list:
-    """Run Spark jobs side by side; each call is its own set of jobs."""
-    with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
-        return list(pool.map(inheritable_thread_target(fn), items))
-
-
 def scored(model, df: DataFrame, task: str) -> DataFrame:
     """Scored rows in one shape: probs, p, pred for classes, yhat for values."""
     if isinstance(model, ClassModels):

@@ -11,10 +11,9 @@ from veldtab.functions.ordering import exact_quantiles, rank_list, select_ranks
 
 
 def conformal_quantile(scores: DataFrame, col: str = "score", alpha: float = 0.10) -> DataFrame:
-    """One row ``qhat``: the score at zero-based rank min(ceil((n+1)(1-alpha)), n-1)."""
-    finite = scores.where(~F.isnan(name(col)) & (F.abs(name(col)) != F.lit(float("inf"))))
+    """One row ``qhat``: the score at zero-based rank min(ceil((n+1)(1-alpha)), n-1) of the finite scores."""
     rank = lambda n: rank_list([(0, F.least(F.ceil((n + 1) * F.lit(1.0 - alpha)), n - 1))])
-    return select_ranks(finite.select(name(col).alias("_s")), [], "_s", rank).agg(F.max("_s").alias("qhat"))
+    return select_ranks(scores.select(name(col).alias("_s")), [], "_s", rank).agg(F.max("_s").alias("qhat"))
 
 
 def nonconformity(y: Column, probabilities: Column) -> Column:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from veldtab.functions.jobs import in_parallel
+from veldtab.functions.ordering import pin
 from veldtab.operators import drift as D
 
 
@@ -21,26 +24,26 @@ def drift_report(ref: DataFrame, new: DataFrame, numeric: list[str], categorical
                          statistic.cast("double").alias("statistic"), pvalue.cast("double").alias("pvalue"), drifted.alias("drifted"))
 
     none, c = F.lit(None), F.col
-    parts = [part(D.numeric_drift(ref, new, numeric, alpha), "numeric", c("feature"), none, c("statistic"), c("pvalue"), c("drifted")),
-             part(D.categorical_drift(ref, new, categorical, alpha), "categorical", c("feature"), none, c("statistic"), c("pvalue"), c("drifted"))]
     features = [*dict.fromkeys([*numeric, *categorical])]
     a, b = ref.select(*[x for x in features if x in ref.columns]), new.select(*[x for x in features if x in new.columns])
-    parts.append(part(D.quality_drift(a, b, alpha).where("changed or all_null_new"), "missing_rate", c("column"),
-                      F.when(c("all_null_new"), "all null"), c("delta"), none, F.lit(True)))
-    rates = D.quality_summary(a, b, alpha)
-    parts.append(part(rates, "duplicate_rate", F.lit("*"), none, c("duplicate_rate_delta"), none,
-                      F.abs("duplicate_rate_delta") >= max(0.05, alpha)))
-    parts.append(part(D.schema_skew(D.schema_table(ref), D.schema_table(new)), "schema", c("column"), c("problem"), none, none, F.lit(True)))
+    limit = max(0.05, alpha)
+    checks: list[Callable[[], DataFrame]] = [
+        lambda: part(D.numeric_drift(ref, new, numeric, alpha), "numeric", c("feature"), none, c("statistic"), c("pvalue"), c("drifted")),
+        lambda: part(D.categorical_drift(ref, new, categorical, alpha), "categorical", c("feature"), none, c("statistic"), c("pvalue"), c("drifted")),
+        lambda: part(D.quality_drift(a, b, alpha).where("changed or all_null_new"), "missing_rate", c("column"),
+                     F.when(c("all_null_new"), "all null"), c("delta"), none, F.lit(True)),
+        lambda: part(D.duplicate_change(a, b), "duplicate_rate", F.lit("*"), none, c("delta"), none, F.abs("delta") >= limit),
+        lambda: part(D.schema_skew(D.schema_table(ref), D.schema_table(new)), "schema", c("column"), c("problem"), none, none, F.lit(True))]
     if label:
-        parts.append(part(D.label_drift(ref, new, label, alpha), "label", F.lit(label), none, c("statistic"), c("pvalue"),
-                          F.coalesce("drift_detected", F.lit(False))))
-        novel = D.novel_classes(ref, new, label).select(F.explode("novel_classes").alias("feature"))
-        parts.append(part(novel, "novel_class", c("feature"), none, none, none, F.lit(True)))
+        checks.append(lambda: part(D.label_drift(ref, new, label, alpha), "label", F.lit(label), none, c("statistic"), c("pvalue"),
+                                   F.coalesce("drift_detected", F.lit(False))))
+        checks.append(lambda: part(D.novel_classes(ref, new, label).select(F.explode("novel_classes").alias("feature")),
+                                   "novel_class", c("feature"), none, none, none, F.lit(True)))
     if segment_cols:
-        segments = D.segment_drift(ref, new, numeric, list(segment_cols), alpha)
-        parts.append(part(segments, "segment", c("feature"), F.concat_ws("=", "segment_column", "segment_value"),
-                          c("statistic"), c("pvalue"), c("drifted")))
-    return reduce(DataFrame.unionByName, parts)
+        checks.append(lambda: part(D.segment_drift(ref, new, numeric, list(segment_cols), alpha), "segment", c("feature"),
+                                   F.concat_ws("=", "segment_column", "segment_value"), c("statistic"), c("pvalue"), c("drifted")))
+    # One row per feature or segment each; the checks are independent jobs.
+    return reduce(DataFrame.unionByName, in_parallel(lambda check: pin(check()), checks, len(checks)))
 
 
 def any_drift(report: DataFrame) -> DataFrame:
