@@ -220,18 +220,21 @@ def _(spark, sf):
     return rounded(K.predict(rows, prep, model, spec).groupBy("prediction").agg(F.count("*").alias("n"), F.avg("p").alias("mean_p")))
 
 
-_ENV_SQL = """SELECT CAST(o_orderkey % 10 AS VARCHAR) AS request_id, count(*) AS n_rows, CAST(sum(CAST(o_totalprice > 200000 AS INT)) AS BIGINT) AS positives, 'v1' AS model_version FROM orders GROUP BY 1"""
+_ENV_SQL = """SELECT CAST(o_orderkey % 10 AS VARCHAR) AS request_id, count(*) AS n_rows, CAST(sum(CAST(o_totalprice > 200000 AS INT)) AS BIGINT) AS positives, 'v1' AS model_version,
+ceil(count(*) / 100.0)::INT AS parts FROM orders GROUP BY 1"""
 
 
 @query("k6_envelope", _ENV_SQL)
 def _(spark, sf):
+    """Responses of ten requests in parts of about 100 rows, put together again."""
     spec = K.ScoringSpec((), version="v1", threshold=0.5)
     o = table(spark, sf, "orders").select(
         "o_orderkey", (F.col("o_orderkey") % 10).cast("string").alias("req"), (F.col("o_totalprice") > 200000).cast("int").alias("prediction"), F.lit(0.5).alias("p"))
-    docs = K.envelope(o, spec, [], "req", "o_orderkey")
+    docs = K.envelope(o, spec, [], "req", "o_orderkey", part_rows=100)
     body = F.from_json("response", "model_version string, n_rows bigint, predictions array<int>")
-    return docs.select("request_id", body.alias("b")).select(
-        "request_id", "b.n_rows", F.aggregate("b.predictions", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("positives"), "b.model_version")
+    positives = F.aggregate("b.predictions", F.lit(0).cast("bigint"), lambda a, x: a + x)
+    return (docs.select("request_id", "parts", body.alias("b")).groupBy("request_id", "parts")
+            .agg(F.sum("b.n_rows").alias("n_rows"), F.sum(positives).alias("positives"), F.max("b.model_version").alias("model_version")))
 
 
 @query("k7_scoring_drift")

@@ -63,17 +63,25 @@ def predict(df: DataFrame, preparation: Preparation, model, spec: ScoringSpec) -
     return out.withColumn("prediction", F.col("pred"))
 
 
-def envelope(rows: DataFrame, spec: ScoringSpec, warnings: list[str], request: str | None = None, order: str | None = None) -> DataFrame:
-    """One JSON document per request id, its rows in ``order``.
+# Rows of one response document; a longer response comes in several parts.
+PART_ROWS = 100_000
 
-    A document holds all rows of one request, so it is meant for requests that one client reads;
-    large batches stay as rows.
+
+def envelope(rows: DataFrame, spec: ScoringSpec, warnings: list[str], request: str | None = None, order: str | None = None, *,
+             part_rows: int = PART_ROWS) -> DataFrame:
+    """JSON documents (request_id, part, parts, response), rows of a part in ``order``.
+
+    A request of more than ``part_rows`` rows is spread over parts by a hash of its order column, so
+    no task gathers more than about one part, however large a request is.
     """
-    keys = [name(request).alias("request_id")] if request else [F.lit("all").alias("request_id")]
     has_p = "probs" in rows.columns
-    item = F.struct(name(order) if order else F.lit(0).alias("_o"), F.col("prediction").alias("prediction"),
+    keyed = rows.withColumns({"request_id": name(request).cast("string") if request else F.lit("all"),
+                              "_o": name(order) if order else F.monotonically_increasing_id()})
+    sizes = keyed.groupBy("request_id").agg(F.ceil(F.count("*") / F.lit(part_rows)).cast("int").alias("parts"))
+    spread = keyed.join(sizes, "request_id").withColumn("part", F.pmod(F.xxhash64("_o"), F.col("parts")).cast("int"))
+    item = F.struct("_o", F.col("prediction").alias("prediction"),
                     *([F.col("probs").alias("probs")] if has_p else []), *([F.col("p").alias("p")] if "p" in rows.columns else []))
-    grouped = rows.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("_rows"), F.count("*").alias("n_rows"))
+    grouped = spread.groupBy("request_id", "part", "parts").agg(F.array_sort(F.collect_list(item)).alias("_rows"), F.count("*").alias("n_rows"))
     pick = lambda field: F.transform("_rows", lambda x: x[field])
     null = F.lit(None).cast("array<double>")
     body = F.struct(
@@ -81,4 +89,4 @@ def envelope(rows: DataFrame, spec: ScoringSpec, warnings: list[str], request: s
         F.lit(spec.threshold).cast("double").alias("threshold"), "n_rows", pick("prediction").alias("predictions"),
         (pick("probs") if has_p else null).alias("probabilities"), (pick("p") if "p" in rows.columns else null).alias("positive_proba"),
         F.array(*[F.lit(w) for w in warnings]).cast("array<string>").alias("warnings"))
-    return grouped.select("request_id", F.to_json(body).alias("response"))
+    return grouped.select("request_id", "part", "parts", F.to_json(body).alias("response"))
