@@ -230,7 +230,7 @@ def _(spark, sf):
     spec = K.ScoringSpec((), version="v1", threshold=0.5)
     o = table(spark, sf, "orders").select(
         "o_orderkey", (F.col("o_orderkey") % 10).cast("string").alias("req"), (F.col("o_totalprice") > 200000).cast("int").alias("prediction"), F.lit(0.5).alias("p"))
-    docs = K.envelope(o, spec, [], "req", "o_orderkey", part_rows=100)
+    docs = K.envelope(o, spec, [], "o_orderkey", "req", part_rows=100)
     body = F.from_json("response", "model_version string, n_rows bigint, predictions array<int>")
     positives = F.aggregate("b.predictions", F.lit(0).cast("bigint"), lambda a, x: a + x)
     return (docs.select("request_id", "parts", body.alias("b")).groupBy("request_id", "parts")

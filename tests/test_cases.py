@@ -181,7 +181,7 @@ def test_scoring_input(spark):
         K.check_input(df.limit(0), spec)
     scored = rows.withColumns({"probs": F.array(F.lit(.25), F.lit(.75)), "p": F.lit(.75), "prediction": F.lit(1)})
     body = T.StructType.fromDDL("model_version string, n_rows bigint, predictions array<int>, positive_proba array<double>, warnings array<string>")
-    doc = K.envelope(scored, spec, warnings).select(F.from_json("response", body).alias("r")).select("r.*").first()
+    doc = K.envelope(scored, spec, warnings, "amount").select(F.from_json("response", body).alias("r")).select("r.*").first()
     assert (doc["model_version"], doc["predictions"], doc["positive_proba"]) == ("20260101_000000_abc123", [1], [.75])
 
 

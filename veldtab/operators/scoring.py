@@ -67,16 +67,17 @@ def predict(df: DataFrame, preparation: Preparation, model, spec: ScoringSpec) -
 PART_ROWS = 100_000
 
 
-def envelope(rows: DataFrame, spec: ScoringSpec, warnings: list[str], request: str | None = None, order: str | None = None, *,
+def envelope(rows: DataFrame, spec: ScoringSpec, warnings: list[str], order: str, request: str | None = None, *,
              part_rows: int = PART_ROWS) -> DataFrame:
     """JSON documents (request_id, part, parts, response), rows of a part in ``order``.
 
     A request of more than ``part_rows`` rows is spread over parts by a hash of its order column, so
-    no task gathers more than about one part, however large a request is.
+    no task gathers more than about one part, however large a request is. ``order`` is unique in a
+    request.
     """
     has_p = "probs" in rows.columns
     keyed = rows.withColumns({"request_id": name(request).cast("string") if request else F.lit("all"),
-                              "_o": name(order) if order else F.monotonically_increasing_id()})
+                              "_o": name(order)})
     sizes = keyed.groupBy("request_id").agg(F.ceil(F.count("*") / F.lit(part_rows)).cast("int").alias("parts"))
     spread = keyed.join(sizes, "request_id").withColumn("part", F.pmod(F.xxhash64("_o"), F.col("parts")).cast("int"))
     item = F.struct("_o", F.col("prediction").alias("prediction"),
