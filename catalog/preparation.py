@@ -107,7 +107,7 @@ g AS (SELECT k.fold, avg(y) AS g, var_pop(y) AS v FROM (SELECT DISTINCT fold FRO
 SELECT CAST(k.fold AS BIGINT) AS fold, k.p_name, round(coalesce((n * m + cv / v * g) / (n + cv / v), g), 6) AS encoded FROM k JOIN g USING (fold) LEFT JOIN c USING (fold, p_name)""")
 def _(spark, sf):
     df = train_table(spark, sf).withColumn("fold", F.col("l_orderkey") % 3)
-    out = E.cross_fit_encoding(df, "p_name", "y", "fold", 3, "encoded")
+    out = E.cross_fit_encoding(df, "p_name", "y", "fold", "encoded")
     return rounded(out.groupBy("fold", "p_name").agg(F.max("encoded").alias("encoded")))
 
 

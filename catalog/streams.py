@@ -43,6 +43,23 @@ def _(spark, sf):
     return rounded(spark.read.parquet(f"{out}/rows"))
 
 
+@query("m2_stream_model_scoring")
+def _(spark, sf):
+    """A fitted preparation and tree model over a stream of files; same predictions as in batch."""
+    from catalog.modelling import FEATURE_COLS, KEY, _fitted, part
+    from veldtab.operators import scoring as K
+    df, prep, model, spec = _fitted(spark, sf)
+    test = part(df, "test").select(*KEY, *FEATURE_COLS)
+    path = _landed(test, spark, "model_in", 4)
+    stream = S.read_files(spark, path, test.schema, kind="parquet", files_per_batch=2)
+    scored = S.score_stream(stream, lambda rows: K.predict(rows, prep, model, spec), spec, KEY).select(*KEY, "p", "prediction")
+    out = fresh_path(spark, "model_out")
+    S.run_once(scored, f"{out}/rows", f"{out}/cp")
+    streamed = spark.read.parquet(f"{out}/rows").groupBy("prediction").agg(F.count("*").alias("n_stream"), F.avg("p").alias("mean_stream"))
+    batch = K.predict(test, prep, model, spec).groupBy("prediction").agg(F.count("*").alias("n_batch"), F.avg("p").alias("mean_batch"))
+    return rounded(streamed.join(batch, "prediction", "full_outer"))
+
+
 @query("m3_stream_monitor")
 def _(spark, sf):
     """One drift check per arriving micro-batch; counters come from the history."""

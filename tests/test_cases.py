@@ -151,6 +151,12 @@ def test_thresholds(spark):
         H.ThresholdPolicy("nonsense").resolved()
 
 
+def test_too_many_candidates_are_refused(spark):
+    df = spark.createDataFrame([(0, .1), (1, .9)], "y int, p double")
+    with pytest.raises(Exception, match="candidate thresholds"):
+        H.threshold_scores(df, spark.range(5000).select((F.col("id") / 5000).alias("threshold"))).collect()
+
+
 def test_perfect_and_tied_ranking(spark):
     df = spark.createDataFrame([(0, .5), (1, .5), (0, .1), (1, .9)], "y int, p double")
     row = M.ranking_metrics(df).first()

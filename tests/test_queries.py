@@ -52,3 +52,8 @@ def test_outlier_share_is_near_contamination(spark):
 def test_stream_monitor_writes_history(spark):
     rows = entry.queries()["m3_stream_monitor"](spark, SF).orderBy("check_key").collect()
     assert len(rows) == 2 and [r["check_id"] for r in rows] == [1, 2]
+
+
+def test_stream_scores_like_batch(spark):
+    for row in entry.queries()["m2_stream_model_scoring"](spark, SF).collect():
+        assert row["n_stream"] == row["n_batch"] and row["mean_stream"] == row["mean_batch"]

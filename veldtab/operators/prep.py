@@ -250,7 +250,7 @@ def fit_target_encoder(df: DataFrame, cols: list[str], y: str) -> TargetEncoder:
     return TargetEncoder(table, float(overall), tuple(cols), table.count())
 
 
-def cross_fit_encoding(df: DataFrame, col: str, y: str, fold: str, folds: int, out: str) -> DataFrame:
+def cross_fit_encoding(df: DataFrame, col: str, y: str, fold: str, out: str) -> DataFrame:
     """Encode training rows with the statistics of the other folds.
 
     Sums per (fold, category) are subtracted from the sums per category, so the data is aggregated

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import asdict, dataclass, replace
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from veldtab.functions.columns import name
@@ -60,6 +60,8 @@ def threshold_scores(df: DataFrame, candidates: DataFrame, y: str = "y", p: str
     ``candidates`` is at most a few hundred rows, held as one sorted array next to every row.
     """
     listed = candidates.agg(F.array_sort(F.collect_list("threshold")).alias("_cuts"))
+    too_many = F.raise_error(F.lit(f"more than {MAX_CANDIDATES} candidate thresholds"))
+    listed = listed.select(F.when(F.size("_cuts") <= MAX_CANDIDATES, F.col("_cuts")).otherwise(too_many).alias("_cuts"))
     p_col = F.col("_p")
     binned = (df.select(name(p).cast("double").alias("_p"), (name(y) == 1).cast("bigint").alias("_pos"))
               .where(p_col.isNotNull())

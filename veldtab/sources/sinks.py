@@ -6,12 +6,12 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Reports of at most this many partitions' worth of rows become one file.
-SMALL_REPORT_ROWS = 1_000_000
-
 
 def write_report(df: DataFrame, path: str, kind: str, *, small: bool = False, mode: str = "overwrite") -> str:
-    """Write a result table as csv, json or snappy Parquet; ``small`` reports become one file."""
+    """Write a result table as csv, json or snappy Parquet.
+
+    ``small`` is for reports of a few rows (one per column, class or bin), which become one file.
+    """
     out = df.coalesce(1) if small else df
     writer = out.write.mode(mode)
     if kind == "csv":
