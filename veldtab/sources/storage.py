@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; a temporary one only where it is unset."""
+    """The folder named in ``spark.checkpoint.dir``, which every executor sees."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="veldtab-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        raise ValueError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
