@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from veldtab.llm import decontaminate, merge_count, order_minhash, simhash
+from veldtab.llm import decontaminate, merge_count, order_minhash, quality, simhash
 
 QUERIES = {
     "op3_merge_token_counts": merge_count.op3_merge_token_counts,
     "op5_benchmark_windows": decontaminate.op5_benchmark_windows,
     "op6_simhash_components": simhash.op6_simhash_components,
+    "op8_weak_label_quality": quality.op8_weak_label_quality,
     "op10_order_minhash": order_minhash.op10_order_minhash,
 }
 ORACLES = {
