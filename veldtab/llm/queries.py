@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from veldtab.llm import decontaminate, merge_count, order_minhash, quality, simhash
+from veldtab.llm import decontaminate, merge_count, order_minhash, quality, secrets, simhash
 
 QUERIES = {
     "op3_merge_token_counts": merge_count.op3_merge_token_counts,
+    "op4_secret_spans": secrets.op4_secret_spans,
     "op5_benchmark_windows": decontaminate.op5_benchmark_windows,
     "op6_simhash_components": simhash.op6_simhash_components,
     "op8_weak_label_quality": quality.op8_weak_label_quality,
