@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from veldtab.llm import decontaminate, merge_count, order_minhash, quality, secrets, simhash
+from veldtab.llm import decontaminate, merge_count, mixing, order_minhash, quality, secrets, simhash
 
 QUERIES = {
+    "op2_raked_mix": mixing.op2_raked_mix,
     "op3_merge_token_counts": merge_count.op3_merge_token_counts,
     "op4_secret_spans": secrets.op4_secret_spans,
     "op5_benchmark_windows": decontaminate.op5_benchmark_windows,
@@ -13,5 +14,6 @@ QUERIES = {
     "op10_order_minhash": order_minhash.op10_order_minhash,
 }
 ORACLES = {
+    "op2_raked_mix": mixing.OP2_SQL,
     "op5_benchmark_windows": decontaminate.OP5_SQL,
 }
