@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from veldtab.llm import decontaminate, merge_count, mixing, order_minhash, quality, secrets, simhash
+from veldtab.llm import decontaminate, language, merge_count, mixing, order_minhash, quality, secrets, simhash
 
 QUERIES = {
     "op2_raked_mix": mixing.op2_raked_mix,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_secret_spans": secrets.op4_secret_spans,
     "op5_benchmark_windows": decontaminate.op5_benchmark_windows,
     "op6_simhash_components": simhash.op6_simhash_components,
+    "op7_language": language.op7_language,
     "op8_weak_label_quality": quality.op8_weak_label_quality,
     "op10_order_minhash": order_minhash.op10_order_minhash,
 }
