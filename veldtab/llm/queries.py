@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from veldtab.llm import decontaminate, language, merge_count, mixing, order_minhash, quality, secrets, simhash
+from veldtab.llm import context_tree, decontaminate, language, merge_count, mixing, order_minhash, quality, secrets, simhash
 
 QUERIES = {
+    "op1_context_tree_scores": context_tree.op1_context_tree_scores,
     "op2_raked_mix": mixing.op2_raked_mix,
     "op3_merge_token_counts": merge_count.op3_merge_token_counts,
     "op4_secret_spans": secrets.op4_secret_spans,
