@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from veldtab.llm import context_tree, decontaminate, language, merge_count, mixing, order_minhash, quality, secrets, simhash
+from veldtab.llm import context_tree, decontaminate, language, licenses, merge_count, mixing, order_minhash, quality, secrets, simhash
 
 QUERIES = {
     "op1_context_tree_scores": context_tree.op1_context_tree_scores,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_simhash_components": simhash.op6_simhash_components,
     "op7_language": language.op7_language,
     "op8_weak_label_quality": quality.op8_weak_label_quality,
+    "op9_licence_scan": licenses.op9_licence_scan,
     "op10_order_minhash": order_minhash.op10_order_minhash,
 }
 ORACLES = {
