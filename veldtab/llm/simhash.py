@@ -133,14 +133,7 @@ def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     radius = -(-distance // 2)
     upper_masks = _masks(32, radius)
 
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            fp = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            for at in range(0, len(fp), 500):
-                some = fp[at:at + 500]
-                upper = (some >> np.uint64(32))[:, None] ^ upper_masks[None, :]
-                owner = np.broadcast_to(some[:, None], upper.shape)
-                yield pa.RecordBatch.from_arrays([pa.array(upper.ravel().astype(np.uint32).view(np.int32)), pa.array(owner.ravel().view(np.int64))], ["upper", "fp"])
+    parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         uppers, owners, rows, found = [], [], 0, []
@@ -149,14 +142,14 @@ def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
             """Match all whole runs of equal upper halves; keep the run that may go on."""
             nonlocal uppers, owners, rows
             up, fp = np.concatenate(uppers), np.concatenate(owners)
-            end = len(up) if last else int(np.searchsorted(up.view(np.int32), up.view(np.int32)[-1]))
+            end = len(up) if last else int(np.searchsorted(up, up[-1]))
             if end:
-                found.append(_meet(up[:end].astype(np.uint64), fp[:end], radius, distance))
+                found.append(_meet(up[:end], fp[:end], radius, distance))
             uppers, owners, rows = [up[end:]], [fp[end:]], len(up) - end
 
         limit = ROWS_AT_ONCE
         for batch in batches:
-            uppers.append(batch.column(0).to_numpy().view(np.uint32))
+            uppers.append(batch.column(0).to_numpy().view(np.uint64))
             owners.append(batch.column(1).to_numpy().view(np.uint64))
             rows += batch.num_rows
             if rows >= limit:
@@ -170,9 +163,11 @@ def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
             a, b = _forest(np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]))
             yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["u", "v"])
 
-    rows = fps.select("fp").distinct().mapInArrow(emit, "upper int, fp long")
-    parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(parts, "upper").sortWithinPartitions("upper").mapInArrow(meet, "u long, v long")
+    # a row in the shuffle is a fingerprint and the number of a mask; both ends know the masks
+    upper = F.shiftrightunsigned("fp", 32).bitwiseXOR(F.get(F.array(*[F.lit(m) for m in _masks(32, radius).tolist()]), "mask"))
+    rows = fps.select("fp").distinct().repartition(parts).select(F.explode(F.sequence(F.lit(0), F.lit(len(upper_masks) - 1))).alias("mask"), "fp")
+    dealt = rows.repartition(parts, upper).select(upper.alias("upper"), "fp")
+    return dealt.sortWithinPartitions("upper").mapInArrow(meet, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
