@@ -1,6 +1,6 @@
 """Order MinHash fingerprints: sketches that feel the order of a text, and so its edit distance.
 
-The text's k-mers (eight bytes of UTF-8, four or two in texts of under 64 or 16 bytes) get the number of their occurrence; a hash of (k-mer, occurrence) deals each into one of
+The text's k-mers (eight bytes of UTF-8, four or two in texts of under 64 or 16 characters) get the number of their occurrence; a hash of (k-mer, occurrence) deals each into one of
 ``SKETCHES`` bins, and in every bin the ``TUPLE`` smallest are selected, put back into text order and hashed as a
 tuple. The share of equal tuples of two fingerprints estimates their likeness. Bins with fewer k-mers than a tuple take what
 they have; bins that both texts leave empty do not count.
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from veldtab.llm.common import map_batches, table
 
-#: (least bytes of the text, bytes of a k-mer)
+#: (least characters of the text, bytes of a k-mer)
 WIDTHS = ((64, 8), (16, 4), (0, 2))
 SKETCHES = 64
 TUPLE = 2
@@ -45,7 +45,8 @@ def kmer_hashes(text: bytes) -> np.ndarray:
     """One 64-bit hash per k-mer in text order."""
     if not text:
         return np.empty(0, np.uint64)
-    k = next(width for least, width in WIDTHS if len(text) >= least)
+    chars = len(text) if len(text) >= 4 * WIDTHS[0][0] else len(text.decode(errors="replace"))
+    k = next(width for least, width in WIDTHS if chars >= least)
     raw = np.frombuffer(text + bytes(8), np.uint8)
     n = max(1, len(text) - k + 1)
     eights = np.lib.stride_tricks.as_strided(raw[:8].view("<u8"), (n,), (1,)).copy()
