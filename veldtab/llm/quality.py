@@ -123,17 +123,14 @@ def features(facts: Facts) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit_scorer(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs: int = EPOCHS, rate: float = 0.5) -> np.ndarray:
-    """Weights of a logistic scorer for soft labels, by AdaGrad in a fixed order; the two classes weigh alike."""
+    """Weights of a logistic scorer for soft labels, by AdaGrad in a fixed order."""
     weights, squares = np.zeros(1 << BITS), np.full(1 << BITS, 1e-8)
-    mass = labels.sum(), (1 - labels).sum()
-    scale = [len(labels) / (2 * max(m, 1.0)) for m in mass]
     order = np.random.default_rng(0)
     for _ in range(epochs):
         for i in order.permutation(len(rows)).tolist():
             at, value = rows[i]
             p = 1 / (1 + math.exp(-max(-30.0, min(30.0, float(weights[at] @ value)))))
-            y = labels[i]
-            slope = ((1 - y) * scale[1] * p - y * scale[0] * (1 - p)) * value
+            slope = (p - labels[i]) * value
             squares[at] += slope * slope
             weights[at] -= rate * slope / np.sqrt(squares[at])
     return weights
