@@ -29,8 +29,8 @@ TEMPER = {"source": 0.7, "lang": 0.5, "topic": 0.5}
 TOPICS = (("legal", r"(?i)licen[cs]e|copyright|all rights"), ("contact", r"@[a-z]|\+\d"), ("figures", r"\d{4}"))
 OTHER_TOPIC = "prose"
 WORD = r"[^\x20\x09-\x0D]+"
-ROUNDS = 30
-TOLERANCE = 1e-9
+ROUNDS = 15
+TOLERANCE = 1e-8
 BUDGET_SHARE = 0.5
 #: Cells up to which the table of cells is broadcast; a larger one is joined.
 BROADCAST_CELLS = 200_000
