@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import functions as F
 
@@ -14,7 +15,7 @@ from veldtab.operators import prep as E
 from veldtab.operators import scoring as K
 from veldtab.operators import uncertainty as U
 from veldtab.operators.profiling import FeatureRoles
-from veldtab.operators.splits import stratified_holdout, stratified_sample
+from veldtab.operators.splits import stratified_holdout
 from veldtab.plans.training import train_classifier
 from veldtab.sources.sinks import load_artifact, save_artifact
 from veldtab.sources.storage import fresh_path, write_through
@@ -68,17 +69,16 @@ def _(spark, sf):
 
 @query("e6_l8_pca_scree")
 def _(spark, sf):
-    emb = table(spark, sf, "embeddings").select("vec_id", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(16)])
-    _, explained = G.fit_components(emb, [f"e{i}" for i in range(16)])
+    emb = table(spark, sf, "embeddings").select("vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("v"))
+    _, explained = G.fit_components(emb, vector="v")
     return rounded(G.scree(explained, emb))
 
 
 @query("l9_pca_projection")
 def _(spark, sf):
-    emb = table(spark, sf, "embeddings").select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(16)])
-    capped = stratified_sample(emb, "label", ["vec_id"], 10_000)
-    transform, _ = G.fit_components(emb, [f"e{i}" for i in range(16)])
-    return rounded(G.projection(capped, transform, ["vec_id", "label"]))
+    emb = table(spark, sf, "embeddings").select("vec_id", "label", array_to_vector(F.col("embedding").cast("array<double>")).alias("v"))
+    transform, _ = G.fit_components(emb, vector="v")
+    return rounded(G.projection(emb, transform, ["vec_id", "label"]))
 
 
 @query("e9_feature_vector")
@@ -98,11 +98,11 @@ def _(spark, sf):
 
 @query("i2_multiclass")
 def _(spark, sf):
-    df = table(spark, sf, "embeddings").select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(8)])
-    df = df.withColumn("y", (F.col("label") % 3).cast("int"))
-    prep = I.fit_preparation(df, FeatureRoles(tuple(f"e{i}" for i in range(8))), "y")
-    x = prep.transform(df)
-    rows = I.fit_multiclass(x, 3, I.TreeParams(3, 2, 0.3, 1.0, 1.0, 1)).transform(x)
+    """Fitted on the train rows with all dimensions, scored on the test rows."""
+    df = table(spark, sf, "embeddings").select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(64)])
+    df = write_through(stratified_holdout(df.withColumn("y", (F.col("label") % 3).cast("int")), "y", ["vec_id"]), "split")
+    prep = I.fit_preparation(part(df, "train"), FeatureRoles(tuple(f"e{i}" for i in range(64))), "y", I.PrepOptions(pca_threshold=64))
+    rows = I.fit_multiclass(prep.transform(part(df, "train")), 3, I.TreeParams(3, 2, 0.3, 1.0, 1.0, 1)).transform(prep.transform(part(df, "test")))
     return rounded(M.classification_suite(rows, p=None, probs="probs", binary=False))
 
 
@@ -285,7 +285,7 @@ def _(spark, sf):
 def _(spark, sf):
     df, prep, model = _numeric_model(spark, sf)
     auc = lambda rows: float(M.ranking_metrics(rows, p="value").first()["roc_auc"])
-    return rounded(G.permutation_importance(part(df, "test"), _scorer(prep, model), auc, ["l_quantity", "p_size"], KEY, repeats=2, max_rows=1000))
+    return rounded(G.permutation_importance(part(df, "test"), _scorer(prep, model), auc, NUM, KEY, repeats=2))
 
 
 @query("l7_learning_curve")
@@ -297,26 +297,26 @@ def _(spark, sf):
 @query("l11_outliers")
 def _(spark, sf):
     df = split(spark, sf)
-    out = G.outlier_report(part(df, "train"), part(df, "test"), ["l_quantity", "l_discount", "p_retailprice"], KEY, trees=50)
+    out = G.outlier_report(part(df, "train"), part(df, "test"), NUM, KEY)
     return rounded(out.groupBy("is_outlier").agg(F.count("*").alias("n"), F.avg("outlier_score").alias("mean_score")), 4)
 
 
 @query("l12_partial_dependence")
 def _(spark, sf):
     df, prep, model = _numeric_model(spark, sf)
-    return rounded(G.partial_dependence(G.individual_curves(part(df, "test"), _scorer(prep, model), ["l_quantity", "p_retailprice"], KEY, points=20, max_rows=200)))
+    return rounded(G.partial_dependence(G.individual_curves(part(df, "test"), _scorer(prep, model), NUM, KEY, points=20)))
 
 
 @query("l13_contributions")
 def _(spark, sf):
     df, prep, model = _numeric_model(spark, sf)
-    return rounded(G.contribution_summary(G.contributions(part(df, "test"), _scorer(prep, model), NUM, KEY, max_rows=300)))
+    return rounded(G.contribution_summary(G.contributions(part(df, "test"), _scorer(prep, model), NUM, KEY)))
 
 
 @query("l14_interactions")
 def _(spark, sf):
     df, prep, model = _numeric_model(spark, sf)
-    return rounded(G.interaction_strength(part(df, "test"), _scorer(prep, model), NUM, KEY, max_rows=200))
+    return rounded(G.interaction_strength(part(df, "test"), _scorer(prep, model), NUM, KEY))
 
 
 @query("training_run")

@@ -48,7 +48,7 @@ def _(spark, sf):
 
 
 @query("d3_stratified_sample", f"""
-WITH {SQL_KEYED.format(seed=7)}, w AS (SELECT least(greatest(CAST(floor(count(*) * 0.6) AS BIGINT), 100), 50000, count(*)) AS nw, count(*) AS total FROM lineitem)
+WITH {SQL_KEYED.format(seed=7)}, w AS (SELECT least(greatest(CAST(floor(count(*) * 0.6) AS BIGINT), 100), count(*)) AS nw, count(*) AS total FROM lineitem)
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, c AS l_returnflag FROM ranked, w WHERE rk <= least(n, greatest(1, round_even(n * (nw / total::DOUBLE), 0)))""")
 def _(spark, sf):
     li = table(spark, sf, "lineitem").select(*KEYS, "l_returnflag")

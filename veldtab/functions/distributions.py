@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 KS_TERMS = 100
 LAMBDA_ONE = 0.2
 FRACTION_DEPTH = 80
-# Above this many degrees of freedom the cube-root normal approximation is used.
-CHI2_EXACT_DF = 20_000
 
 
 def ks_pvalue(d: Column, n_ref: Column, n_new: Column) -> Column:
@@ -43,30 +41,30 @@ def erfc(x: Column) -> Column:
     return F.when(x < 2.0, step).otherwise(tail)
 
 
+def log_gamma(z: Column) -> Column:
+    """Logarithm of the gamma function for z > 0: Stirling's series ten steps up, and the product on the way back."""
+    up = z + 10.0
+    series = (up - 0.5) * F.log(up) - up + 0.5 * math.log(2 * math.pi) + 1 / (12 * up) - 1 / (360 * F.pow(up, F.lit(3))) + 1 / (1260 * F.pow(up, F.lit(5)))
+    back = F.aggregate(F.sequence(F.lit(0), F.lit(9)), F.lit(0.0), lambda acc, i: acc + F.log(z + i))
+    return series - back
+
+
 def chi2_sf(stat: Column, df: Column) -> Column:
-    """Upper tail of the chi-squared distribution for an integer number of degrees of freedom.
+    """Upper tail of the chi-squared distribution, for every number of degrees of freedom alike.
 
-    The tail is a finite sum for every integer df; terms are kept as logarithms so that neither
-    the exponential nor the power over- or underflows.
+    The regularised incomplete gamma function: its series below the mean, its continued fraction above. Both
+    need a number of steps that grows with the square root of the degrees of freedom.
     """
-    h = stat / 2.0
-    odd = (df % 2) == 1
-    n_terms = F.floor(F.when(df <= CHI2_EXACT_DF, df).otherwise(F.lit(1)) / 2).cast("int")
-    # Even df: h^i/i! from i = 0. Odd df: h^(i-1/2)/Gamma(i+1/2) from i = 1, next to erfc(sqrt h).
-    shift = F.when(odd, F.lit(0.5)).otherwise(F.lit(0.0))
-    first = F.when(odd, 0.5 * F.log(h) - h - 0.5 * math.log(math.pi) + math.log(2.0)).otherwise(-h)
-    summed = F.aggregate(
-        F.when(n_terms >= 1, F.sequence(F.lit(1), n_terms)).otherwise(F.array().cast("array<int>")),
-        F.struct(first.alias("log_term"), F.lit(0.0).alias("total")),
-        lambda acc, i: F.struct(
-            (acc["log_term"] + F.log(h) - F.log(i + shift)).alias("log_term"),
-            (acc["total"] + F.exp(acc["log_term"])).alias("total")),
-        lambda acc: acc["total"])
-    exact = summed + F.when(odd, erfc(F.sqrt(h))).otherwise(F.lit(0.0))
-    d = df.cast("double")
-    z = (F.pow(stat / d, F.lit(1.0 / 3.0)) - (1.0 - 2.0 / (9.0 * d))) / F.sqrt(2.0 / (9.0 * d))
-    upper = 0.5 * erfc(F.abs(z) / math.sqrt(2.0))
-    approx = F.when(z >= 0, upper).otherwise(1.0 - upper)
-    tail = F.when(df > CHI2_EXACT_DF, approx).otherwise(exact)
-    return (F.when(stat <= 0, F.lit(1.0))
-            .otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), tail))))
+    a, x = df.cast("double") / 2.0, stat.cast("double") / 2.0
+    scale = a * F.log(x) - x - log_gamma(a)
+    steps = (F.lit(120) + F.ceil(12 * F.sqrt(a))).cast("int")
+    below = F.aggregate(
+        F.sequence(F.lit(1), steps), F.struct((1 / a).alias("term"), (1 / a).alias("total")),
+        lambda acc, n: F.struct((acc["term"] * x / (a + n)).alias("term"), (acc["total"] + acc["term"] * x / (a + n)).alias("total")),
+        lambda acc: 1.0 - acc["total"] * F.exp(scale))
+    above = F.aggregate(
+        F.sequence(steps, F.lit(1), F.lit(-1)), F.lit(0.0),
+        lambda acc, n: n * (n - a) / (x + 2 * n + 1 - a - acc),
+        lambda acc: F.exp(scale) / (x + 1 - a - acc))
+    tail = F.when(x < a + 1, below).otherwise(above)
+    return F.when(stat <= 0, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), tail)))

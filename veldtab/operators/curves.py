@@ -70,11 +70,11 @@ def reliability(df: DataFrame, y: str = "y", p: str = "p", bins: int = 10, varia
         F.count("*").alias("n"), F.avg(name(y).cast("double")).alias("fraction_positive"), F.avg(name(p)).alias("mean_predicted"))
 
 
-def correlation_table(df: DataFrame, cols: list[str], keep: int = 40) -> DataFrame:
-    """Lower triangle (a, b, corr) of the ``keep`` columns with the largest mean absolute correlation."""
+def correlation_table(df: DataFrame, cols: list[str], keep: int | None = None) -> DataFrame:
+    """Lower triangle (a, b, corr) of all columns, or of the ``keep`` ones with the largest mean absolute correlation."""
     pairs = correlation_pairs(df, cols)
     sides = pairs.select(F.explode(F.array("a", "b")).alias("column"), F.abs("corr").alias("r"))
-    chosen = sides.groupBy("column").agg(F.avg("r").alias("m")).orderBy(F.desc("m"), "column").limit(keep).select("column")
+    chosen = sides.groupBy("column").agg(F.avg("r").alias("m")).orderBy(F.desc("m"), "column").limit(len(cols) if keep is None else keep).select("column")
     lower = pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "corr")
     kept = (lower.join(F.broadcast(chosen.withColumnRenamed("column", "a")), "a", "left_semi")
             .join(F.broadcast(chosen.withColumnRenamed("column", "b")), "b", "left_semi"))

@@ -15,46 +15,53 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from veldtab.functions.columns import name
-from veldtab.functions.hashing import hash_order, hash_text
-from veldtab.functions.ordering import collect_quantiles, exact_quantiles
+from veldtab.functions.hashing import hash_order
+from veldtab.functions.ordering import collect_quantiles, exact_quantiles, prefix_sum
+from veldtab.operators.prep import fit_median_imputer
 from veldtab.operators.models import TreeParams, components_kept, score_model, tree_estimator
 from veldtab.sources.storage import write_through
-from veldtab.operators.splits import CURVE_ROWS, CURVE_SHARES, nested_samples, stratified_sample
+from veldtab.operators.splits import CURVE_SHARES, nested_samples, stratified_sample
 
 Scorer = Callable[[DataFrame], DataFrame]
 
 
-def _sample(df: DataFrame, key_cols: list[str], rows: int, seed: int) -> DataFrame:
-    """At most ``rows`` rows by hash order, numbered 0.. (a report sample, bounded by ``rows``)."""
-    picked = df.orderBy(hash_order(seed, key_cols), *[name(k) for k in key_cols]).limit(rows)
-    order = Window.partitionBy(F.lit(0)).orderBy(hash_order(seed, key_cols), *[name(k) for k in key_cols])
-    return picked.withColumn("_row", (F.row_number().over(order) - 1).cast("int"))
+def _ranked(df: DataFrame, seed: int, columns: list[str], out: str) -> DataFrame:
+    """Adds the place of each row, 0.., in the order of a hash of the columns; no task ever holds the whole order."""
+    hashed = df.withColumns({"_h": hash_order(seed, columns), "_one": F.lit(1)})
+    below = prefix_sum(hashed.select("_h", "_one"), [], "_h", ["_one"], integers=True).select("_h", "below__one")
+    tied = Window.partitionBy("_h").orderBy(*[name(c) for c in columns])
+    return hashed.join(below, "_h").withColumn(out, F.col("below__one") + F.row_number().over(tied) - 1).drop("_h", "_one", "below__one")
+
+
+def _sample(df: DataFrame, key_cols: list[str], rows: int | None, seed: int) -> DataFrame:
+    """All rows, or the first ``rows`` in hash order, numbered 0.. in that order."""
+    ranked = _ranked(df, seed, key_cols, "_row")
+    return ranked if rows is None else ranked.where(F.col("_row") < rows)
 
 
 def permutation_importance(df: DataFrame, score: Scorer, metric: Callable[[DataFrame], float], features: list[str], key_cols: list[str], *,
-                           repeats: int = 3, max_rows: int = 5000, top: int = 20, seed: int = 42) -> DataFrame:
-    """(feature, mean_drop, std_drop): metric lost when one column is shuffled among the sampled rows."""
+                           repeats: int = 3, max_rows: int | None = None, top: int | None = None, seed: int = 42) -> DataFrame:
+    """(feature, mean_drop, std_drop): metric lost when one column is shuffled among the rows (all, or ``max_rows`` of them)."""
     base = write_through(_sample(df, key_cols, max_rows, seed), "permutation")
     whole = metric(score(base))
-    rows = []
-    for f in features:
-        drops = []
-        for k in range(repeats):
-            # A second hash order gives every row the value of another row: a join on the two ranks.
-            again = Window.partitionBy(F.lit(0)).orderBy(hash_text(seed + 1 + k, ["_row"]))
-            donor = base.select((F.row_number().over(again) - 1).cast("int").alias("_row"), name(f).alias("_donor"))
-            shuffled = base.join(donor, "_row").withColumn(f, F.col("_donor")).drop("_donor")
-            drops.append(whole - metric(score(shuffled)))
-        mean = sum(drops) / repeats
-        rows.append((f, mean, math.sqrt(sum((d - mean) ** 2 for d in drops) / repeats)))
+    drops: dict[str, list[float]] = {f: [] for f in features}
+    for k in range(repeats):
+        # A second hash order gives every row another row: a join on the two places, once for all features.
+        again = _ranked(base.select("_row", *[name(f) for f in features]), seed + 1 + k, ["_row"], "_place")
+        donors = again.select(F.col("_place").alias("_row"), F.struct(*[name(f) for f in features]).alias("_donor"))
+        paired = write_through(base.join(donors, "_row"), "permutation")
+        for f in features:
+            drops[f].append(whole - metric(score(paired.withColumn(f, F.col("_donor")[f]).drop("_donor"))))
+    mean = {f: sum(d) / repeats for f, d in drops.items()}
+    rows = [(f, mean[f], math.sqrt(sum((x - mean[f]) ** 2 for x in d) / repeats)) for f, d in drops.items()]
     rows.sort(key=lambda x: (-x[1], x[0]))
     return df.sparkSession.createDataFrame(rows[:top], "feature string, mean_drop double, std_drop double")
 
 
 def learning_curve(prepared: DataFrame, validation: DataFrame, task: str, metric: str, class_col: str, key_cols: list[str], *,
-                   params: TreeParams = TreeParams(20, 3), label: str = "y", max_rows: int = CURVE_ROWS) -> DataFrame:
-    """(share, n_rows, train_score, val_score) on nested samples."""
-    capped = stratified_sample(prepared, class_col, key_cols, min(max_rows, prepared.count()))
+                   params: TreeParams = TreeParams(20, 3), label: str = "y", max_rows: int | None = None) -> DataFrame:
+    """(share, n_rows, train_score, val_score) on nested samples of all rows, or of ``max_rows`` in the proportions of the classes."""
+    capped = prepared if max_rows is None else stratified_sample(prepared, class_col, key_cols, min(max_rows, prepared.count()))
     levels = nested_samples(capped, class_col, key_cols).persist()
     rows = []
     try:
@@ -170,7 +177,9 @@ def outlier_scores(df: DataFrame, cols: list[str], forest: str, out: str = "outl
 
 
 def outlier_report(train: DataFrame, test: DataFrame, cols: list[str], key_cols: list[str], *, contamination: float = 0.05, trees: int = TREES) -> DataFrame:
-    """Test rows with score and flag; the cut-off is the train quantile at 1 - contamination."""
+    """Test rows with score and flag, missing values replaced by the train medians; the cut-off is the train quantile at 1 - contamination."""
+    medians = fit_median_imputer(train, cols)
+    train, test = medians.transform(train), medians.transform(test)
     forest = isolation_trees(train, cols, key_cols, trees=trees)
     scores = outlier_scores(train.select(*[name(c) for c in cols]), cols, forest).select("outlier_score")
     cut = exact_quantiles(scores, [], "outlier_score", [1 - contamination]).first()["quantile"]
@@ -184,8 +193,8 @@ def dependence_grid(df: DataFrame, features: list[str], points: int = 40) -> dic
     return {f: [e[0.05] + (e[0.95] - e[0.05]) * i / (points - 1) for i in range(points)] for f, e in ends.items() if e}
 
 
-def individual_curves(df: DataFrame, score: Scorer, features: list[str], key_cols: list[str], *, points: int = 40, max_rows: int = 500, seed: int = 42) -> DataFrame:
-    """(feature, grid, row, value): each sampled row scored at every grid point of every feature."""
+def individual_curves(df: DataFrame, score: Scorer, features: list[str], key_cols: list[str], *, points: int = 40, max_rows: int | None = None, seed: int = 42) -> DataFrame:
+    """(feature, grid, row, value): each row (all, or ``max_rows`` of them) scored at every grid point of every feature."""
     grid = dependence_grid(df, features, points)
     base = _sample(df, key_cols, max_rows, seed)
     cells = F.array(*[F.struct(F.lit(f).alias("f"), F.lit(v).alias("v")) for f, values in grid.items() for v in values])
@@ -198,8 +207,8 @@ def partial_dependence(curves: DataFrame) -> DataFrame:
     return curves.groupBy("feature", "grid").agg(F.avg("value").alias("mean_value"), F.count("*").alias("n_rows"))
 
 
-def _with_background(df: DataFrame, features: list[str], key_cols: list[str], rows: int, background: int, draws: int, seed: int) -> DataFrame:
-    """Sampled rows x draws, each next to one background row picked by hash (an equi-join on its number)."""
+def _with_background(df: DataFrame, features: list[str], key_cols: list[str], rows: int | None, background: int, draws: int, seed: int) -> DataFrame:
+    """Rows x draws, each next to one background row picked by hash (an equi-join on its number)."""
     base = _sample(df, key_cols, rows, seed).select("_row", F.struct(*[name(f).alias(f) for f in features]).alias("_x"))
     back = _sample(df, key_cols, background, seed + 1).select(F.col("_row").alias("_b"), F.struct(*[name(f).alias(f) for f in features]).alias("_z"))
     drawn = base.withColumn("_draw", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))))
@@ -207,7 +216,7 @@ def _with_background(df: DataFrame, features: list[str], key_cols: list[str], ro
     return picked.join(F.broadcast(back), "_b")  # at most ``background`` rows
 
 
-def contributions(df: DataFrame, score: Scorer, features: list[str], key_cols: list[str], *, max_rows: int = 2000, background: int = 64, draws: int = 4, seed: int = 42) -> DataFrame:
+def contributions(df: DataFrame, score: Scorer, features: list[str], key_cols: list[str], *, max_rows: int | None = None, background: int = 64, draws: int = 4, seed: int = 42) -> DataFrame:
     """(row, feature, phi): sampled Shapley values by switching features one by one in a random order."""
     pairs = _with_background(df, features, key_cols, max_rows, background, draws, seed)
     # Random order of the features per (row, draw): sorted by hash.
@@ -221,12 +230,12 @@ def contributions(df: DataFrame, score: Scorer, features: list[str], key_cols: l
             .groupBy("row", "feature").agg(F.avg("d").alias("phi")))
 
 
-def contribution_summary(phi: DataFrame, top: int = 20) -> DataFrame:
-    return phi.groupBy("feature").agg(F.avg(F.abs("phi")).alias("mean_abs_phi")).orderBy(F.desc("mean_abs_phi"), "feature").limit(top)
+def contribution_summary(phi: DataFrame) -> DataFrame:
+    return phi.groupBy("feature").agg(F.avg(F.abs("phi")).alias("mean_abs_phi")).orderBy(F.desc("mean_abs_phi"), "feature")
 
 
-def interaction_strength(df: DataFrame, score: Scorer, features: list[str], key_cols: list[str], *, max_rows: int = 500, background: int = 64, draws: int = 1,
-                         top: int = 10, seed: int = 42) -> DataFrame:
+def interaction_strength(df: DataFrame, score: Scorer, features: list[str], key_cols: list[str], *, max_rows: int | None = None, background: int = 64, draws: int = 1,
+                         seed: int = 42) -> DataFrame:
     """(a, b, strength): mean absolute second difference of the score over pairs of features."""
     pairs = list(combinations(features, 2))
     base = _with_background(df, features, key_cols, max_rows, background, draws, seed)
@@ -237,4 +246,4 @@ def interaction_strength(df: DataFrame, score: Scorer, features: list[str], key_
         for f in features})
     sign = F.when(F.col("_cell.on_a") == F.col("_cell.on_b"), F.col("value")).otherwise(-F.col("value"))
     per_row = score(wide).groupBy("_row", "_draw", F.col("_cell.a").alias("a"), F.col("_cell.b").alias("b")).agg(F.sum(sign).alias("d"))
-    return per_row.groupBy("a", "b").agg(F.avg(F.abs("d")).alias("strength")).orderBy(F.desc("strength"), "a", "b").limit(top)
+    return per_row.groupBy("a", "b").agg(F.avg(F.abs("d")).alias("strength")).orderBy(F.desc("strength"), "a", "b")

@@ -18,7 +18,6 @@ ALPHA = 0.05
 SMOOTHING = 1e-6
 MIN_SEGMENT_ROWS = 20
 MIN_SEGMENT_VALUES = 10
-LISTED_FEATURES = 10
 
 
 def finite(c: Column) -> Column:
@@ -309,8 +308,8 @@ def segment_drift_against(reference: DataFrame, new: DataFrame, cols: list[str],
 
 
 def drifted_segments(tested: DataFrame, keys: list[str] = ()) -> DataFrame:
-    """One row per segment with drift; the report lists the first 10 features by name."""
-    listed = F.slice(F.array_sort(F.collect_list(F.struct("feature", "pvalue"))), 1, LISTED_FEATURES)
+    """One row per segment with drift and its drifted features by name (one entry per column at most)."""
+    listed = F.array_sort(F.collect_list(F.struct("feature", "pvalue")))
     return (tested.where("drifted").groupBy(*[name(k) for k in keys], *SEGMENT_KEYS)
             .agg(listed.alias("drifted_features"), F.count("*").alias("n_drifted")))
 

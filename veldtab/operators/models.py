@@ -8,7 +8,9 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark import StorageLevel
+from pyspark.errors import PySparkException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import (
@@ -24,10 +26,12 @@ from veldtab.functions.jobs import in_parallel
 from veldtab.operators import metrics as M
 from veldtab.operators import prep as E
 from veldtab.operators.profiling import PROBABILITY_METRICS, FeatureRoles
-from veldtab.operators.splits import search_rows, stratified_folds, stratified_sample
+from veldtab.operators.splits import fold_count, most_recent, search_rows, stratified_folds, stratified_sample, time_blocks
 from veldtab.operators.thresholds import ThresholdPolicy, tune_threshold
 
 FEATURES = "features"
+#: What a fit raises on data it cannot use; anything else is a fault and is not caught.
+FIT_ERRORS = (PySparkException, Py4JJavaError)
 SEED = 42
 
 
@@ -35,7 +39,7 @@ SEED = 42
 
 @dataclass(frozen=True)
 class PrepOptions:
-    robust_cols: tuple[str, ...] = ("Amount", "Time")
+    robust_cols: tuple[str, ...] = ()
     power: bool = False
     pca_threshold: int = 10
     pca_variance: float = 0.95
@@ -246,7 +250,6 @@ NARROW = {"max_depth": (3, 7, 1, False), "learning_rate": (0.01, 0.2, None, True
           "colsample": (0.6, 1.0, None, False), "min_child_weight": (1, 5, 1, False)}
 WIDE = {"max_depth": (3, 10, 1, False), "learning_rate": (0.001, 0.3, None, True), "subsample": (0.5, 1.0, None, False),
         "colsample": (0.4, 1.0, None, False), "min_child_weight": (1, 10, 1, False)}
-CV_ROWS = 50_000
 
 
 def draw_params(n_trials: int, *, wide: bool = False, n_estimators: tuple[int, int] = (100, 500), seed: int = SEED) -> list[TreeParams]:
@@ -280,38 +283,50 @@ TRIAL_SCHEMA = ("trial int, n_estimators int, max_depth int, learning_rate doubl
 
 def search(prepared: DataFrame, task: str, metric: str, class_col: str | None, key_cols: list[str], *, n_trials: int = 30, wide: bool = False,
            n_estimators: tuple[int, int] = (100, 500), folds: int = 5, validation: DataFrame | None = None, fraction: float = 0.6,
-           label: str = "y", parallelism: int = 4, seed: int = SEED) -> DataFrame:
-    """Trial table. Cross-validation on a sample of small tables, else one fit against ``validation``.
+           label: str = "y", parallelism: int = 4, seed: int = SEED, strategy: str = "cv", max_rows: int | None = None, time_col: str | None = None) -> DataFrame:
+    """Trial table: ``fraction`` of the rows (at most ``max_rows``) in folds (``cv``), folds in order of time (``time``), or one fit against ``validation`` (``holdout``).
 
-    The prepared vectors are cached once; trials differ only in the estimator. A failed trial is a
-    row with state 'failed'.
+    Folds are reduced to what the smallest class allows. Folds in time validate on block i what was fitted on the blocks before it; where ``max_rows`` is
+    given they work on the newest rows. The prepared vectors are cached once; trials differ only in the estimator. A trial whose fit fails is
+    a row with state 'failed'; a search without any complete trial raises.
     """
-    n = prepared.count()
-    use_cv = n < CV_ROWS and folds >= 2 or validation is None
-    work = prepared
-    if use_cv and class_col:
-        work = stratified_sample(prepared, class_col, key_cols, search_rows(n, fraction), seed=seed)
-    if use_cv:
+    if strategy not in ("cv", "time", "holdout"):
+        raise ValueError(f"unknown strategy: {strategy}")
+    if strategy == "holdout" and validation is None:
+        raise ValueError("holdout needs validation rows")
+    work, fold, use_cv = prepared, "fold", strategy != "holdout"
+    if strategy == "cv":
+        if class_col:
+            folds = fold_count(prepared, class_col, folds)
+            work = stratified_sample(prepared, class_col, key_cols, search_rows(prepared.count(), fraction, max_rows), seed=seed)
+        if folds < 2:
+            raise ValueError("cross-validation needs two rows of every class and two folds")
         work = stratified_folds(work, class_col, key_cols, folds, seed=seed)
+    elif strategy == "time":
+        work, fold = time_blocks(most_recent(prepared, time_col, max_rows, key_cols) if max_rows else prepared, time_col, folds), "block"
     work = work.persist(StorageLevel.MEMORY_AND_DISK)
 
     def run(item):
         i, params = item
         try:
             if use_cv:
-                scores = [score_model(tree_estimator(task, params, label=label).fit(work.where(F.col("fold") != f)),
-                                      work.where(F.col("fold") == f), task, metric, label) for f in range(folds)]
+                earlier = (lambda f: F.col(fold) < f) if strategy == "time" else (lambda f: F.col(fold) != f)
+                held = range(1, folds + 1) if strategy == "time" else range(folds)
+                scores = [score_model(tree_estimator(task, params, label=label).fit(work.where(earlier(f))),
+                                      work.where(F.col(fold) == f), task, metric, label) for f in held]
                 score = sum(scores) / len(scores)
             else:
                 score = score_model(tree_estimator(task, params, label=label).fit(work), validation, task, metric, label)
             return (*_trial(i, params), score, "complete")
-        except Exception as exc:  # a failed trial is recorded, the search goes on
+        except FIT_ERRORS as exc:  # a failed fit is recorded, the search goes on
             return (*_trial(i, params), None, f"failed: {type(exc).__name__}")
 
     try:
         rows = in_parallel(run, list(enumerate(draw_params(n_trials, wide=wide, n_estimators=n_estimators, seed=seed))), parallelism)
     finally:
         work.unpersist()
+    if not any(r[-1] == "complete" for r in rows):
+        raise RuntimeError(f"no trial was completed: {rows[0][-1] if rows else 'no trials'}")
     return prepared.sparkSession.createDataFrame(rows, TRIAL_SCHEMA)
 
 
@@ -348,7 +363,7 @@ def tree_count_by_folds(prepared: DataFrame, task: str, params: TreeParams, clas
 
 def evaluate_baselines(train: DataFrame, test: DataFrame, task: str, metric: str, *, label: str = "y", logged: bool = False,
                        policy: ThresholdPolicy = ThresholdPolicy(), trees: TreeParams = TreeParams(50, 3, 0.08, 1.0, 1.0, 1)) -> DataFrame:
-    """(model, metric, value, status) of the simple models; an error is a row, not a stop."""
+    """(model, metric, value, status) of the simple models; a failed fit is a row, not a stop."""
     spark = train.sparkSession
     parts: list[DataFrame] = []
 
@@ -358,7 +373,7 @@ def evaluate_baselines(train: DataFrame, test: DataFrame, task: str, metric: str
     def attempt(label_: str, fn: Callable[[], DataFrame]) -> None:
         try:
             add(label_, fn())
-        except Exception as exc:
+        except FIT_ERRORS as exc:
             parts.append(spark.createDataFrame([(label_, None, None, f"failed: {type(exc).__name__}")],
                                                "model string, metric string, value double, status string"))
 
@@ -477,7 +492,7 @@ def select_features(prepared: DataFrame, task: str, metric: str, class_col: str
     return best[0], spark.createDataFrame([(len(s), v) for s, v in history], "n_features int, mean_score double")
 
 
-def importances(model, prepared: DataFrame, top: int = 20) -> DataFrame:
+def importances(model, prepared: DataFrame, top: int | None = None) -> DataFrame:
     """(feature, importance), strongest first."""
     values = model.featureImportances.toArray()
     names = feature_names(prepared) or [f"f{i}" for i in range(len(values))]

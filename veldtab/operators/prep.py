@@ -7,7 +7,9 @@ streams, and can be stored as SQL in a fitted pipeline (``sql`` methods).
 
 from __future__ import annotations
 
+import hashlib
 import math
+from collections import Counter
 from collections.abc import Iterable
 from dataclasses import dataclass
 from itertools import combinations
@@ -339,8 +341,11 @@ def generated_candidates(cols: list[str], depth: int = 1) -> dict[str, Column]:
     return out
 
 
-def _generated_name(raw: str) -> str:
-    return "ft__" + raw.replace(" ", "_")[:80]
+def _generated_names(raw: list[str]) -> dict[str, str]:
+    """Whole expressions as names; where two would be equal, each gets the md5 of its expression."""
+    plain = {r: "ft__" + r.replace(" ", "_") for r in raw}
+    seen = Counter(plain.values())
+    return {r: n if seen[n] == 1 else f"{n}__{hashlib.md5(r.encode()).hexdigest()}" for r, n in plain.items()}
 
 
 @dataclass(frozen=True)
@@ -372,7 +377,8 @@ def fit_generated_features(train: DataFrame, cols: list[str], *, max_features: i
     variances = generated_variances(train, cols, depth)
     kept = sorted((r for r, v in variances.items() if v is not None and v > 0), key=lambda r: (-variances[r], r))[:max_features]
     expressions = generated_candidates(cols, depth)
-    return GeneratedFeatures({_generated_name(r): _finite(expressions[r]) for r in kept})
+    names = _generated_names(kept)
+    return GeneratedFeatures({names[r]: _finite(expressions[r]) for r in kept})
 
 
 # Names of the per-entity features of a numeric column.

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from veldtab.functions.columns import name
 from veldtab.functions.hashing import HASH_SPACE, hash_order
 from veldtab.functions.ordering import rank_list, select_ranks
+from veldtab.sources.storage import write_through
 
 
 def hash_cuts(df: DataFrame, class_col: str | None, key_cols: list[str], seed: int,
@@ -42,12 +43,12 @@ def hash_cuts(df: DataFrame, class_col: str | None, key_cols: list[str], seed: i
 def with_cut_index(df: DataFrame, class_col: str | None, key_cols: list[str], seed: int,
                    sizes: Callable[[Column], list[Column]], out: str) -> DataFrame:
     """Adds the number of cuts below each row: 0 inside the first size, 1 inside the second, ..."""
-    cuts = hash_cuts(df, class_col, key_cols, seed, sizes).drop("group_rows")
+    # Written, so that its size is known when the join is planned: with few classes the rows themselves are never exchanged.
+    cuts = write_through(hash_cuts(df, class_col, key_cols, seed, sizes).drop("group_rows"), "cuts")
     hashed = df.withColumn("_hash", hash_order(seed, key_cols))
     if class_col:
         hashed = hashed.withColumn("_class", name(class_col))
-        # One row per class; Spark measures the table at run time and broadcasts it when it is small.
-        # Rows without a class have no cut-off and go after the last cut.
+        # One row per class. Rows without a class have no cut-off and go after the last cut.
         joined = hashed.join(cuts, "_class", "left")
     else:
         joined = hashed.crossJoin(F.broadcast(cuts))  # one row
@@ -86,9 +87,9 @@ def exact_holdout(df: DataFrame, key_cols: list[str], **options) -> DataFrame:
     return stratified_holdout(df, None, key_cols, **options)
 
 
-def search_rows(n: int, fraction: float = 0.6, cap: int = 50_000) -> int:
-    """Rows a search works on: a fraction, at least 100, at most ``cap`` and the table."""
-    return min(max(int(n * fraction), 100), cap, n)
+def search_rows(n: int, fraction: float = 0.6, cap: int | None = None) -> int:
+    """Rows a search works on: a fraction, at least 100, at most the table and ``cap`` where there is one."""
+    return min(max(int(n * fraction), 100), n if cap is None else cap, n)
 
 
 def stratified_sample(df: DataFrame, class_col: str, key_cols: list[str], n_wanted: int, *,
@@ -151,9 +152,8 @@ def most_recent(df: DataFrame, time_col: str, n: int, key_cols: list[str]) -> Da
     return df.orderBy(F.desc(time_col), *[F.desc(k) for k in key_cols]).limit(n)
 
 
-# Training-set shares of a learning curve and its largest size.
+# Training-set shares of a learning curve.
 CURVE_SHARES = (0.10, 0.18, 0.32, 0.56, 1.0)
-CURVE_ROWS = 20_000
 
 
 def nested_samples(df: DataFrame, class_col: str, key_cols: list[str], *, shares=CURVE_SHARES,
