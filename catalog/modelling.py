@@ -16,8 +16,8 @@ from veldtab.operators import scoring as K
 from veldtab.operators import uncertainty as U
 from veldtab.operators.profiling import FeatureRoles
 from veldtab.operators.splits import stratified_holdout
+from veldtab.plans import scorer as S
 from veldtab.plans.training import train_classifier
-from veldtab.sources.sinks import load_artifact, save_artifact
 from veldtab.sources.storage import fresh_path, write_through
 
 KEY = ["l_orderkey", "l_linenumber", "l_partkey"]
@@ -44,7 +44,8 @@ def split(spark, sf):
 def prepared(spark, sf, roles=ROLES, options=I.PrepOptions()):
     df = split(spark, sf)
     prep = I.fit_preparation(df.where("split = 'train'"), roles, "y", options)
-    vectors = prep.transform(df).select(*KEY, "split", "y", "price", "features")
+    columns = [*KEY, "split", "y", "price", "features"]
+    vectors = prep.transform_train(df.where("split = 'train'"), "y", KEY).select(*columns).unionByName(prep.transform(df.where("split <> 'train'")).select(*columns))
     return prep, write_through(vectors, "features")
 
 
@@ -194,7 +195,7 @@ FEATURE_COLS = [*NUM, "p_type", "l_linestatus", "p_name"]
 def _fitted(spark, sf):
     df = split(spark, sf)
     prep = I.fit_preparation(part(df, "train"), ROLES, "y")
-    model = I.tree_estimator("classification", SMALL).fit(prep.transform(part(df, "train")))
+    model = I.tree_estimator("classification", SMALL).fit(prep.transform_train(part(df, "train"), "y", KEY))
     spec = K.ScoringSpec(tuple(FEATURE_COLS), version="v1", threshold=0.4, labels=("cheap", "expensive"), dropped=("legacy_score",))
     return df, prep, model, spec
 
@@ -249,18 +250,23 @@ def _(spark, sf):
     return W.with_persistence(W.check_batches(profile, new, ["batch"], roles), "batch").select("batch", "n_rows", "drift_ratio", "severity", "alert", "prediction_drift")
 
 
-@query("a9_artifact")
+_LABELLED = "l AS (SELECT CAST(l_quantity + p_size * 0.3 + l_extendedprice % 20 > 45 AS INT) AS y FROM lineitem JOIN part ON l_partkey = p_partkey)"
+_TEST_ROWS = f"WITH {_LABELLED} SELECT CAST(sum(n) AS BIGINT) AS n FROM (SELECT round_even(count(*) * 0.2, 0) AS n FROM l GROUP BY y)"
+
+
+@query("a9_artifact", f"SELECT n, CAST(0 AS BIGINT) AS n_different, CAST(0 AS BIGINT) AS n_outside, 'v1' AS version, 0.4::DOUBLE AS threshold FROM ({_TEST_ROWS})")
 def _(spark, sf):
-    """Save and load the fitted pipeline; both score the same rows alike."""
-    df = split(spark, sf)
-    prep = I.fit_preparation(part(df, "train"), FeatureRoles(tuple(NUM), ("p_type",)), "y")
-    path = save_artifact(prep.pipeline, {"version": "v1", "task": "classification", "threshold": 0.5, "expected": NUM + ["p_type"]},
-                         fresh_path(spark, "artifact"), spark, {"known_categories": E.known_categories(part(df, "train"), ["p_type"])})
-    loaded, info = load_artifact(path, spark)
-    a, b = prep.pipeline.transform(part(df, "test")), loaded.transform(part(df, "test"))
-    digest = lambda x: x.agg(F.count("*").alias("n"), F.sum(F.xxhash64(F.col("features").cast("string")) % 1000003).alias("h"))
-    same = digest(a).crossJoin(digest(b).withColumnsRenamed({"n": "n2", "h": "h2"}))
-    return same.select("n", (F.col("h") == F.col("h2")).alias("same_vectors")).crossJoin(info.select("version", "threshold"))
+    """Save and load the whole scorer, target encoding included; both score the same rows, and every row is compared."""
+    df, prep, model, spec = _fitted(spark, sf)
+    known = E.known_categories(part(df, "train"), ["p_type", "l_linestatus"])
+    live = S.Scorer(prep, model, spec, known, I.fit_calibration(I.scored(model, prep.transform(part(df, "val")), "classification")))
+    loaded = S.load_scorer(S.save_scorer(live, fresh_path(spark, "artifact")))
+    columns = [*KEY, "prediction", "p", "p_calibrated"]
+    a, b = (s.score(part(df, "test"), KEY)[0].select(*columns, F.lit(side).alias("side")) for s, side in ((live, 1), (loaded, 2)))
+    pairs = a.unionByName(b).groupBy(*KEY, "prediction", "p", "p_calibrated").agg(F.count("*").alias("c"), F.count_distinct("side").alias("sides"))
+    return pairs.agg((F.sum("c") / 2).cast("bigint").alias("n"), F.sum(F.when(F.col("sides") == 2, 0).otherwise(F.col("c"))).alias("n_different"),
+                     F.sum(F.when(F.col("p").between(0, 1) & F.col("p_calibrated").between(0, 1), 0).otherwise(1)).cast("bigint").alias("n_outside")).withColumns(
+        {"version": F.lit(loaded.spec.version), "threshold": F.lit(float(loaded.spec.threshold))})
 
 
 # -- L: model diagnostics ------------------------------------------------------------------------

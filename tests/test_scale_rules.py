@@ -67,3 +67,13 @@ def test_places_are_a_permutation_without_one_task(spark):
     assert sorted(r.n for r in ranked.collect()) == list(range(500))
     tied = G._ranked(df, 3, ["k"], "n")
     assert sorted(r.n for r in tied.collect()) == list(range(500))
+
+
+def test_target_encoding_of_noise_tells_nothing_about_train_rows(spark):
+    from veldtab.operators.profiling import FeatureRoles
+    noise = spark.range(6_000).select("id", F.concat(F.lit("c"), F.pmod(F.xxhash64("id"), F.lit(1_500))).alias("c"), (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(2))).cast("int").alias("y"))
+    train, test = noise.where("id % 4 <> 0"), noise.where("id % 4 = 0")
+    prep = I.fit_preparation(train, FeatureRoles((), (), ("c",)), "y")
+    corr = lambda df: abs(df.select(F.corr("y", F.element_at(F.expr("transform(array(t_c), x -> x)"), 1))).first()[0])
+    assert corr(prep.transform(train)) > 0.3
+    assert corr(prep.transform_train(train, "y", ["id"])) < 0.15 and corr(prep.transform(test)) < 0.1

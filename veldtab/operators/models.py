@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veldtab.functions.columns import name, quoted
+from veldtab.functions.hashing import hash_order
 from veldtab.functions.jobs import in_parallel
 from veldtab.operators import metrics as M
 from veldtab.operators import prep as E
@@ -55,8 +56,18 @@ class Preparation:
     fill: E.Imputer = E.Imputer({})
 
     def transform(self, df: DataFrame) -> DataFrame:
+        """Prepare rows that the encoder was not fitted on."""
         return self.pipeline.transform(self.encoder.transform(self.fill.transform(df)) if self.encoder else df)
 
+    def transform_train(self, train: DataFrame, target: str, key_cols: list[str], *, folds: int = 5, seed: int = SEED) -> DataFrame:
+        """Prepare the training rows: each is encoded with the targets of the other folds only, so its own target does not leak."""
+        if not self.encoder:
+            return self.pipeline.transform(train)
+        out = self.fill.transform(train).withColumn("_fold", hash_order(seed, key_cols) % folds)
+        for c in self.encoder.cols:
+            out = E.cross_fit_encoding(out, c, target, "_fold", "_encoded").withColumn(c, F.col("_encoded")).drop("_encoded")
+        return self.pipeline.transform(out.drop("_fold"))
+
 
 def sql_projection(expressions: dict[str, str]) -> SQLTransformer:
     """All columns plus new ones, as a stage that is stored with the pipeline."""

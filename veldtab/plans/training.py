@@ -1,4 +1,8 @@
-"""One training run: split, roles, preparation, early-stopped fit, threshold, metrics, uncertainty."""
+"""One training run: split, roles, preparation, early-stopped fit, threshold, metrics, uncertainty.
+
+Training rows are target-encoded out of fold. Half of the validation rows (``cal``) take no part in any fit: the conformal
+quantile comes from the final model's scores of them, as do the sets of the test rows.
+"""
 
 from __future__ import annotations
 
@@ -8,6 +12,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from veldtab.functions.hashing import hash_order
 from veldtab.operators import metrics as M
 from veldtab.operators import models as I
 from veldtab.operators import thresholds as H
@@ -16,6 +21,7 @@ from veldtab.operators.prep import class_weights
 from veldtab.operators.profiling import FeatureRoles, choose_metric, detect_roles
 from veldtab.operators.scoring import ScoringSpec
 from veldtab.operators.splits import stratified_holdout
+from veldtab.sources.storage import write_through
 
 
 @dataclass(frozen=True)
@@ -36,11 +42,15 @@ def train_classifier(df: DataFrame, target: str, key_cols: list[str], *, roles:
     The prepared table is cached once and read by every fit and evaluation.
     """
     parts = stratified_holdout(df, target, key_cols, seed=seed)
+    set_aside = (F.col("split") == "val") & (hash_order(seed + 1, key_cols) % 2 == 0)
+    parts = write_through(parts.withColumn("split", F.when(set_aside, "cal").otherwise(F.col("split"))), "split")
     train = parts.where("split = 'train'")
     roles = roles or detect_roles(train, exclude=[target, "split", *key_cols])
     chosen = choose_metric(train, target, metric=metric).first()
     preparation = I.fit_preparation(train, roles, target)
-    prepared = preparation.transform(parts)
+    columns = [*key_cols, target, "split", I.FEATURES]
+    prepared = (preparation.transform_train(train, target, key_cols).select(*columns)
+                .unionByName(preparation.transform(parts.where("split <> 'train'")).select(*columns)))
     weight = None
     if chosen["class_weight"]:
         prepared, weight = class_weights(prepared, target, chosen["class_weight"]), "weight"
@@ -51,7 +61,7 @@ def train_classifier(df: DataFrame, target: str, key_cols: list[str], *, roles:
         model = I.fit_final(cached, "classification", params, stopped.best_iteration, label=target, weight=weight)
         threshold = H.tune_threshold(I.scored(stopped.model, which("val"), "classification"), policy, chosen["metric"], y=target).first()["threshold"]
         test = H.apply_threshold(I.scored(model, which("test"), "classification"), threshold)
-        _, summary = U.classification_uncertainty(I.scored(stopped.model, which("val"), "classification"), test, target, "probs", alpha)
+        _, summary = U.classification_uncertainty(I.scored(model, which("cal"), "classification"), test, target, "probs", alpha)
         found = M.classification_suite(test, y=target).collect()
         summary_row = summary.collect()
     finally:
