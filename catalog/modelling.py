@@ -26,6 +26,10 @@ ROLES = FeatureRoles(tuple(NUM), ("p_type", "l_linestatus"), ("p_name",))
 SMALL = I.TreeParams(8, 3, 0.3, 1.0, 1.0, 1)
 
 
+_LABELLED = "l AS (SELECT CAST(l_quantity + p_size * 0.3 + l_extendedprice % 20 > 45 AS INT) AS y FROM lineitem JOIN part ON l_partkey = p_partkey)"
+_TEST_ROWS = f"WITH {_LABELLED} SELECT CAST(sum(n) AS BIGINT) AS n FROM (SELECT round_even(count(*) * 0.2, 0) AS n FROM l GROUP BY y)"
+
+
 def labelled(spark, sf):
     """Line items with their part; y and price follow from features plus a part the features do not show."""
     li, part_ = table(spark, sf, "lineitem"), table(spark, sf, "part")
@@ -82,6 +86,21 @@ def _(spark, sf):
     return rounded(G.projection(emb, transform, ["vec_id", "label"]))
 
 
+_TRACE = "+".join(f"var_samp(embedding[{i + 1}]::DOUBLE)" for i in range(64))
+
+
+@query("e6_l9_component_variance", f"SELECT count(*) AS n, round({_TRACE}, 6) AS total_variance, CAST(0 AS BIGINT) AS n_correlated FROM embeddings")
+def _(spark, sf):
+    """All components of all dimensions: their variances add up to that of the data, and neighbours are uncorrelated."""
+    emb = table(spark, sf, "embeddings").select("vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("v"))
+    transform, explained = G.fit_components(emb, vector="v")
+    width = len(explained)
+    flat = G.projection(emb, transform, ["vec_id"], width)
+    total = F.round(sum((F.var_samp(f"pc{i + 1}") for i in range(1, width)), F.var_samp("pc1")), 6)
+    odd = sum((F.when(F.abs(F.corr(f"pc{i}", f"pc{i + 1}")) > 1e-6, 1).otherwise(0) for i in range(1, width)), F.lit(0))
+    return flat.agg(F.count("*").alias("n"), total.alias("total_variance"), odd.cast("bigint").alias("n_correlated"))
+
+
 @query("e9_feature_vector")
 def _(spark, sf):
     """Assembled features with a PCA block, power transform and robust scaling."""
@@ -97,14 +116,28 @@ def _(spark, sf):
     return rounded(history)
 
 
-@query("i2_multiclass")
-def _(spark, sf):
+def _multiclass(spark, sf):
     """Fitted on the train rows with all dimensions, scored on the test rows."""
     df = table(spark, sf, "embeddings").select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(64)])
     df = write_through(stratified_holdout(df.withColumn("y", (F.col("label") % 3).cast("int")), "y", ["vec_id"]), "split")
     prep = I.fit_preparation(part(df, "train"), FeatureRoles(tuple(f"e{i}" for i in range(64))), "y", I.PrepOptions(pca_threshold=64))
-    rows = I.fit_multiclass(prep.transform(part(df, "train")), 3, I.TreeParams(3, 2, 0.3, 1.0, 1.0, 1)).transform(prep.transform(part(df, "test")))
-    return rounded(M.classification_suite(rows, p=None, probs="probs", binary=False))
+    return I.fit_multiclass(prep.transform(part(df, "train")), 3, I.TreeParams(3, 2, 0.3, 1.0, 1.0, 1)).transform(prep.transform(part(df, "test")))
+
+
+@query("i2_multiclass")
+def _(spark, sf):
+    return rounded(M.classification_suite(_multiclass(spark, sf), p=None, probs="probs", binary=False))
+
+
+@query("i2_class_probabilities", """SELECT CAST(sum(n) AS BIGINT) AS n, CAST(0 AS BIGINT) AS n_outside, CAST(0 AS BIGINT) AS n_not_one, CAST(0 AS BIGINT) AS n_not_likeliest
+FROM (SELECT round_even(count(*) * 0.2, 0) AS n FROM embeddings GROUP BY label % 3)""")
+def _(spark, sf):
+    """Every test row of the multi-class model: probabilities within 0 and 1 that sum to 1, the prediction the likeliest class."""
+    rows = _multiclass(spark, sf)
+    total = F.aggregate("probs", F.lit(0.0), lambda s, x: s + x)
+    bad = lambda c: F.sum(F.when(c, 0).otherwise(1)).cast("bigint")
+    return rows.agg(F.count("*").alias("n"), bad(F.forall("probs", lambda x: x.between(0, 1))).alias("n_outside"),
+                    bad(F.abs(total - 1) < 1e-9).alias("n_not_one"), bad(F.get("probs", F.col("pred")) == F.array_max("probs")).alias("n_not_likeliest"))
 
 
 @query("i4_i6_early_stopping")
@@ -157,6 +190,18 @@ def _(spark, sf):
     return rounded(M.ranking_metrics(I.ensemble_scores(members, part(df, "test"), "classification")))
 
 
+@query("i10_member_mean", f"SELECT n, CAST(0 AS BIGINT) AS n_different FROM ({_TEST_ROWS})")
+def _(spark, sf):
+    """The ensemble's probability of every test row is the mean of its members' own."""
+    _, df = prepared(spark, sf)
+    members = I.fit_ensemble(df.where("split in ('train', 'val')"), _trials(df, 2), "classification", 2)
+    rows = I.ensemble_scores(members, part(df, "test"), "classification").select(*KEY, "features", "p")
+    for i, member in enumerate(members):
+        rows = I.scored(member, rows.withColumnRenamed("p", "mean"), "classification").withColumnRenamed("p", f"p{i}").withColumnRenamed("mean", "p").drop("probs", "pred")
+    alone = sum((F.col(f"p{i}") for i in range(1, len(members))), F.col("p0")) / len(members)
+    return rows.agg(F.count("*").alias("n"), F.sum(F.when(F.abs(alone - F.col("p")) < 1e-12, 0).otherwise(1)).cast("bigint").alias("n_different"))
+
+
 _AVG = """SELECT o_orderkey, round((a + b) / 2, 9) AS p FROM (SELECT o_orderkey, CAST(('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 2)) AS INT) / 255.0::DOUBLE AS a,
 CAST(('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 3, 2)) AS INT) / 255.0::DOUBLE AS b FROM orders)"""
 
@@ -250,10 +295,6 @@ def _(spark, sf):
     return W.with_persistence(W.check_batches(profile, new, ["batch"], roles), "batch").select("batch", "n_rows", "drift_ratio", "severity", "alert", "prediction_drift")
 
 
-_LABELLED = "l AS (SELECT CAST(l_quantity + p_size * 0.3 + l_extendedprice % 20 > 45 AS INT) AS y FROM lineitem JOIN part ON l_partkey = p_partkey)"
-_TEST_ROWS = f"WITH {_LABELLED} SELECT CAST(sum(n) AS BIGINT) AS n FROM (SELECT round_even(count(*) * 0.2, 0) AS n FROM l GROUP BY y)"
-
-
 @query("a9_artifact", f"SELECT n, CAST(0 AS BIGINT) AS n_different, CAST(0 AS BIGINT) AS n_outside, 'v1' AS version, 0.4::DOUBLE AS threshold FROM ({_TEST_ROWS})")
 def _(spark, sf):
     """Save and load the whole scorer, target encoding included; both score the same rows, and every row is compared."""
