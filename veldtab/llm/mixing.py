@@ -1,8 +1,8 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
 Token counts of the cells (source, language, topic) are raked until their marginals meet the targets: each round scales the
-factor of every source, then of every language, then of every topic. Only the three factor tables change between steps, so
-no more than one row per value is written; cells are summed on the map side. The factor product of a cell, brought to a
+cells of every source, then of every language, then of every topic. Documents are summed to cells first, on the map side; only
+the table of cells is written between steps. Weight over tokens of a cell, brought to a
 token budget with probabilities capped at 1, is the probability with which its documents are kept.
 
 Targets are given per dimension as rows (value, share), or follow from the corpus: tokens to the power ``TEMPER``. A
@@ -62,51 +62,32 @@ def tempered(cells: DataFrame, dimension: str, power: float) -> DataFrame:
     return sums.select("value", F.pow("tokens", F.lit(power)).alias("share"))
 
 
-def _long(tables: dict[str, DataFrame]) -> DataFrame:
-    """The tables of all dimensions as one, with the dimension's name and ``value`` instead of the dimension's column."""
-    parts = [t.select(F.lit(d).alias("dimension"), F.col(d).alias("value"), *[c for c in t.columns if c != d]) for d, t in tables.items()]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
-
-
-def _of(tall: DataFrame, dimension: str) -> DataFrame:
-    return tall.where(F.col("dimension") == dimension).drop("dimension").withColumnRenamed("value", dimension)
-
-
 def rake(cells: DataFrame, targets: dict[str, DataFrame] | None = None, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
     """Add ``weight``, the raked tokens per token of the cell, to cells (source, lang, topic, tokens); all weights times tokens sum to all tokens.
 
-    Each round writes one row per value of a dimension. Raking ends when no factor changes by more than ``tolerance`` of itself, or after ``rounds``
-    (targets that no weights can meet, because cells are missing, have no end).
+    Every step is one small aggregation, one join and one written table of cells. Raking ends when no marginal is off its goal by more than
+    ``tolerance`` of it, or after ``rounds`` (targets that no weights can meet, because cells are missing, have no end).
     """
-    start = {}
+    total = cells.agg(F.sum("tokens")).first()[0] or 0
+    state = cells.withColumn("mass", F.col("tokens").cast("double"))
     for d in DIMENSIONS:
         given = targets[d] if targets and d in targets else tempered(cells, d, TEMPER[d])
         there = cells.groupBy(F.col(d).alias("value")).agg(F.sum("tokens").alias("tokens")).where("tokens > 0")
-        start[d] = there.join(given.where("share > 0"), "value").select(F.col("value").alias(d), F.col("share").cast("double").alias("share"))
-    shares = write_through(_long(start), "mix-goals")
-    total = cells.agg(F.sum("tokens")).first()[0] or 0
-    scale = {r["dimension"]: total / r["share"] for r in shares.groupBy("dimension").agg(F.sum("share").alias("share")).collect()}
-    goals = {d: _of(shares, d).select(d, (F.col("share") * scale.get(d, 0.0)).alias("goal")) for d in DIMENSIONS}
-    tall = shares.select("dimension", "value", F.lit(1.0).alias("factor"), F.lit(1.0).alias("change"))
+        goal = there.join(given.where("share > 0"), "value").select(F.col("value").alias(d), F.col("share").cast("double").alias("share"))
+        scale = total / (goal.agg(F.sum("share")).first()[0] or 1.0)
+        state = write_through(state.join(goal, d, "left").withColumn(f"goal_{d}", F.coalesce(F.col("share") * scale, F.lit(0.0))).drop("share"), "mix-cells")
     for _ in range(rounds):
-        now = {d: _of(tall, d).select(d, F.col("factor").alias(f"f_{d}")) for d in DIMENSIONS}
-        fresh = {}
+        worst = 0.0
         for d in DIMENSIONS:
-            others, mass = cells, F.col("tokens")
-            for o in DIMENSIONS:
-                if o != d:
-                    others, mass = others.join(now[o], o), mass * F.col(f"f_{o}")
-            sums = others.groupBy(d).agg(F.sum(mass).alias("mass")).where("mass > 0").join(goals[d], d).join(now[d].withColumnRenamed(f"f_{d}", "old"), d)
-            fresh[d] = sums.select(d, (F.col("goal") / F.col("mass")).alias("factor"), F.abs(F.col("goal") / F.col("mass") / F.col("old") - 1).alias("change"))
-            now[d] = fresh[d].select(d, F.col("factor").alias(f"f_{d}"))
-        tall = write_through(_long(fresh), "mix-factors")
-        if (tall.agg(F.max("change")).first()[0] or 0.0) <= tolerance:
+            sums = state.groupBy(d).agg(F.sum("mass").alias("now"))
+            factor = F.coalesce(F.col(f"goal_{d}") / F.nullif(F.col("now"), F.lit(0.0)), F.lit(0.0))
+            off = F.when(F.col("now") > 0, F.abs(factor - 1)).otherwise(0.0)
+            state = write_through(state.drop("off").join(sums, d).withColumns({"mass": F.col("mass") * factor, "off": off}).drop("now"), "mix-cells")
+            worst = max(worst, state.agg(F.max("off")).first()[0] or 0.0)
+        if worst <= tolerance:
             break
-    weight, out = F.lit(1.0), cells
-    for d in DIMENSIONS:
-        out = out.join(_of(tall, d).select(d, F.col("factor").alias(f"f_{d}")), d, "left")
-        weight = weight * F.coalesce(F.col(f"f_{d}"), F.lit(0.0))
-    return write_through(out.select(*cells.columns, F.when(F.col("tokens") > 0, weight).otherwise(0.0).alias("weight")), "mix-cells")
+    weight = F.when(F.col("tokens") > 0, F.col("mass") / F.col("tokens")).otherwise(0.0)
+    return state.select(*cells.columns, weight.alias("weight"))
 
 
 def calibrate(raked: DataFrame, budget: float) -> float:
