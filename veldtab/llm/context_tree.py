@@ -30,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -43,8 +44,8 @@ GROUPED = 3
 GROUP_GRAMS = 200_000
 #: Stands for the end of a text, and before its first byte; never part of UTF-8.
 END = b"\xff"
-BLOCK_BYTES = 24 << 20
-CHUNK_BYTES = 2 << 20
+BLOCK_BYTES = 32 << 20
+CHUNK_BYTES = 1 << 20
 ADDED = 0.1
 
 
@@ -59,19 +60,21 @@ def grams(texts: list[bytes]) -> np.ndarray:
     inside = np.ones(n, bool)
     between = ((starts + lengths + 1)[:, None] + np.arange(DEPTH)[None, :]).ravel()
     inside[between[between < n]] = False
-    return windows[inside].astype(np.uint64) >> np.uint64(8 * (7 - DEPTH))
+    found = windows[inside].astype(np.uint64)
+    found >>= np.uint64(8 * (7 - DEPTH))
+    return found
 
 
-def _chunks(texts: list[bytes]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about CHUNK_BYTES; a longer text is a range of its own."""
+def _chunks(lengths: list[int]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about CHUNK_BYTES by their lengths; a longer text is a range of its own."""
     start, size = 0, 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > CHUNK_BYTES:
+    for i, n in enumerate(lengths):
+        if size and size + n > CHUNK_BYTES:
             yield start, i
             start, size = i, 0
-        size += len(t) + 1
-    if start < len(texts):
-        yield start, len(texts)
+        size += n + 1
+    if start < len(lengths):
+        yield start, len(lengths)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list, list[bytes], list[bool]]]:
@@ -79,7 +82,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list, list
     task, number = TaskContext.get().partitionId(), 0
     for batch in batches:
         ids, train = batch.column(0).to_pylist(), batch.column(2).to_pylist()
-        texts = [t.translate(LOWER_ASCII) for t in as_bytes(batch.column(1))]
+        texts = [t.translate(LOWER_ASCII) for at in range(0, batch.num_rows, 500) for t in as_bytes(batch.column(1).slice(at, 500))]
         start, size = 0, 0
         for i, t in enumerate(texts):
             if size and size + len(t) > BLOCK_BYTES:
@@ -91,11 +94,26 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list, list
             number += 1
 
 
-def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    if not keys:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
-    unique, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-    return unique, np.bincount(inverse, weights=np.concatenate(counts), minlength=len(unique)).astype(np.int64)
+class GramCounts:
+    """Sums of counts by gram; what is added is merged once there is as much of it as a few chunks give."""
+
+    def __init__(self):
+        self.keys, self.counts, self.waiting = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], 0
+
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        self.keys.append(keys)
+        self.counts.append(counts)
+        self.waiting += len(keys)
+        if self.waiting > 400_000:
+            self.merged()
+
+    def merged(self) -> tuple[np.ndarray, np.ndarray]:
+        key, count = np.concatenate(self.keys), np.concatenate(self.counts)
+        order = np.argsort(key)
+        key, count = key[order], count[order]
+        first = np.flatnonzero(np.concatenate((np.ones(min(1, len(key)), bool), key[1:] != key[:-1])))
+        self.keys, self.counts, self.waiting = [key[first]], [np.add.reduceat(count, first) if len(first) else count], 0
+        return self.keys[0], self.counts[0]
 
 
 def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,13 +122,12 @@ def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for block, _, texts, train in _blocks(batches):
         words: Counter = Counter()
         others: set = set()
-        keys, counts = [], []
+        found = GramCounts()
         for flag in (True, False):
             chosen = [t for t, f in zip(texts, train) if f == flag]
-            for a, b in _chunks(chosen):
+            for a, b in _chunks(list(map(len, chosen))):
                 unique, n = np.unique(grams(chosen[a:b]), return_counts=True)
-                keys.append(unique)
-                counts.append(n * flag)
+                found.add(unique, n * flag)
             for t in chosen:
                 (words if flag else others).update(t.split())
             if chosen:
@@ -118,8 +135,9 @@ def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = list(others - words.keys())
         every = list(words) + held
         n = list(words.values()) + [0] * len(held)
-        yield pa.RecordBatch.from_arrays([pa.array([block] * len(every), pa.int64()), pa.array(every, pa.binary()), pa.nulls(len(every), pa.int64()), pa.array(n, pa.int64())], names)
-        gram, n = _merged(keys, counts)
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(every), block)), pa.array(every, pa.binary()), pa.nulls(len(every), pa.int64()), pa.array(n, pa.int64())], names)
+        del words, others, held, every
+        gram, n = found.merged()
         yield pa.RecordBatch.from_arrays([pa.array(np.full(len(gram), block)), pa.nulls(len(gram), pa.binary()), pa.array(gram.astype(np.int64)), pa.array(n)], names)
 
 
@@ -275,6 +293,28 @@ def weigh(counts: DataFrame) -> DataFrame:
     return joined.select("gram", F.expr(value).alias("value"))
 
 
+class GramTable:
+    """Values of grams: a table of slots by hash, and a search among the few grams whose slot another one has."""
+
+    def __init__(self, gram: np.ndarray, value: np.ndarray):
+        order = np.argsort(gram)
+        self.gram, self.value = gram[order].astype(np.int64), value[order]
+        self.shift = np.uint64(64 - max(4, (2 * len(gram)).bit_length()))
+        self.slots = np.zeros(1 << (64 - int(self.shift)), np.int32)
+        self.slots[self.slot(self.gram)] = np.arange(len(gram), dtype=np.int32)
+
+    def slot(self, gram: np.ndarray) -> np.ndarray:
+        return (gram.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).view(np.int64)
+
+    def values(self, gram: np.ndarray) -> np.ndarray:
+        place = self.slots[self.slot(gram)]
+        other = np.flatnonzero(self.gram[place] != gram)
+        place[other] = np.minimum(np.searchsorted(self.gram, gram[other]), len(self.gram) - 1)
+        if not (self.gram[place[other]] == gram[other]).all():
+            raise RuntimeError("docs was not read alike twice: pass materialise=True")
+        return self.value[place]
+
+
 def score_texts(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text", materialise: bool = False) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row; rows that meet ``training`` are learned from."""
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.coalesce(training, F.lit(True)).alias("train"))
@@ -285,11 +325,11 @@ def score_texts(docs: DataFrame, training: Column, id_col: str = "doc_id", text_
     words, keys = asked.where("word IS NOT NULL").select("block", "word", "n"), asked.where("gram IS NOT NULL").select("block", "gram", "n")
     counts = write_through(keys.groupBy("gram").agg(F.sum("n").alias("n")), "context-tree-grams")
     values = keys.select("block", "gram").join(weigh(counts), "gram").select("block", F.lit(None).cast("binary").alias("word"), "gram", "value")
-    known = write_through(words.withColumn("value", F.sum("n").over(Window.partitionBy("word")).cast("double"))
-                          .select("block", "word", F.lit(None).cast("long").alias("gram"), "value", "n"), "context-tree-words")
-    # each word's total stands in as many rows as blocks hold it; its training counts add up over them
-    total = known.agg(F.sum("n")).first()[0] or 0
-    distinct = known.where("value > 0").groupBy("word").agg(F.lit(1)).count()
+    same = Window.partitionBy("word")
+    known = write_through(words.select("block", "word", F.lit(None).cast("long").alias("gram"), F.sum("n").over(same).cast("double").alias("value"), "n",
+                                       (F.row_number().over(same.orderBy("block")) == 1).alias("first")), "context-tree-words")
+    # a word's total stands in as many rows as blocks hold it, one of which is the first
+    total, distinct = known.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("first") & (F.col("value") > 0), 1))).first()
     divisor = math.log10(total + ADDED * (distinct + 1))
 
     def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -300,35 +340,30 @@ def score_texts(docs: DataFrame, training: Column, id_col: str = "doc_id", text_
     pa_id = to_arrow_type(source.schema["doc_id"].dataType)
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        texts = [t or b"" for t in left["text"].to_pylist()]
-        is_word = right["word"].is_valid().to_numpy()
-        word, value = right["word"].to_pylist(), right["value"].to_numpy()
-        at = np.flatnonzero(is_word)
-        place = {word[i]: j for j, i in enumerate(at.tolist())}
-        count = value[at]
-        log_base = np.log10(count + ADDED) - divisor
-        gram_rows = np.flatnonzero(~is_word)
-        gram = right["gram"].to_numpy(zero_copy_only=False)[gram_rows].astype(np.int64)
-        order = np.argsort(gram)
-        gram, log_model = gram[order], value[gram_rows][order]
-        n_tokens, n_known, base, scores = [], [], [], []
-        for a, b in _chunks(texts):
-            some = texts[a:b]
-            key = grams(some).astype(np.int64)
-            found = np.minimum(np.searchsorted(gram, key), len(gram) - 1)
-            if not (gram[found] == key).all():
-                raise RuntimeError("docs was not read alike twice: pass materialise=True")
+        is_word = right["word"].is_valid()
+        word, count = right["word"].filter(is_word).combine_chunks(), right["value"].filter(is_word).to_numpy()
+        is_gram = right["gram"].is_valid()
+        lookup = GramTable(right["gram"].filter(is_gram).to_numpy(), right["value"].filter(is_gram).to_numpy())
+        del right
+        log_base, known_word = np.log10(count + ADDED) - divisor, count > 0
+        out = {"n_tokens": [], "n_known": [], "base_score": [], "score": []}
+        for a, b in _chunks(pc.binary_length(left["text"]).to_pylist()):
+            some = left["text"].slice(a, b - a).to_pylist()
             lengths = np.fromiter(map(len, some), np.int64, len(some)) + 1
-            scores.append(np.add.reduceat(log_model[found], np.cumsum(lengths) - lengths))
+            out["score"].append(np.add.reduceat(lookup.values(grams(some).view(np.int64)), np.cumsum(lengths) - lengths))
+            tokens: list[bytes] = []
+            sizes = []
             for t in some:
-                tokens = t.split()
+                own = t.split()
+                tokens += own
                 tokens.append(b"")
-                where = np.fromiter(map(place.__getitem__, tokens), np.int64, len(tokens))
-                n_tokens.append(len(tokens))
-                n_known.append(int((count[where] > 0).sum()))
-                base.append(float(log_base[where].sum()))
-        return pa.table({"doc_id": left["doc_id"], "held_out": pa.array([not f for f in left["train"].to_pylist()]), "n_tokens": pa.array(n_tokens, pa.int64()),
-                         "n_known": pa.array(n_known, pa.int64()), "base_score": pa.array(base, pa.float64()), "score": pa.array(np.concatenate(scores))})
+                sizes.append(len(own) + 1)
+            place = pc.index_in(pa.array(tokens, pa.binary()), value_set=word).to_numpy(zero_copy_only=False)
+            starts = np.cumsum(sizes) - sizes
+            out["n_tokens"].append(np.array(sizes, np.int64))
+            out["n_known"].append(np.add.reduceat(known_word[place].astype(np.int64), starts))
+            out["base_score"].append(np.add.reduceat(log_base[place], starts))
+        return pa.table({"doc_id": left["doc_id"], "held_out": pa.array([not f for f in left["train"].to_pylist()])} | {name: np.concatenate(v) for name, v in out.items()})
 
     texts = source.mapInArrow(numbered, f"block long, doc_id {id_type}, text binary, train boolean")
     both = values.unionByName(known.select("block", "word", "gram", "value"))
