@@ -44,7 +44,7 @@ GROUPED = 3
 GROUP_GRAMS = 200_000
 #: Stands for the end of a text, and before its first byte; never part of UTF-8.
 END = b"\xff"
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 12 << 20
 CHUNK_BYTES = 1 << 20
 ADDED = 0.1
 
