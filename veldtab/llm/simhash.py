@@ -10,7 +10,7 @@ one variant are within the full distance of each other, so linking each to the s
 lists all pairs; links are compared bit by bit all the same, and each task hands on a spanning forest of its links.
 
 Null and blank texts have fingerprint zero and are linked like any other. Repeated rows and ids share a component.
-An empty table gives an empty result. Extra columns are dropped by ``near_duplicates`` and kept by ``drop_near_duplicates``.
+An empty table gives an empty result. Extra columns are dropped. The pipeline's stage compares texts instead (``near_copies``).
 """
 
 from __future__ import annotations
@@ -22,10 +22,10 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from veldtab.llm.common import LOWER_ASCII, as_bytes, connected_components, map_batches, table
+from veldtab.llm.near_copies import drop_near_duplicates  # noqa: F401
 from veldtab.sources.storage import write_through
 
 SHINGLE = 4
@@ -181,16 +181,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return known.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each group: that of the smallest id (of rows with the same id, that of the smallest text hash). Null ids form no order;
-    a group of null ids only keeps none of its rows by id, so rows without an id are kept as they are."""
-    found = near_duplicates(docs.where(F.col(id_col).isNotNull()), id_col, text_col)
-    keep = found.where("doc_id = component_id").select(F.col("doc_id").alias("__keep")).distinct()
-    first = Window.partitionBy(id_col).orderBy(F.xxhash64(text_col))
-    kept = docs.join(keep, docs[id_col] == keep["__keep"], "left_semi").withColumn("__n", F.row_number().over(first)).where("__n = 1").drop("__n")
-    return kept.unionByName(docs.where(F.col(id_col).isNull()))
-
-
 def op6_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
