@@ -1,20 +1,26 @@
 """Licence scan: a trained paragraph classifier, confirmed by comparison with templates.
 
-A paragraph is a line. Its words and word pairs are hashed to a sparse vector of unit length, and an elastic-net multinomial
+Looked at are single lines and, for notices that are wrapped, stretches of lines of a paragraph (a run of lines between lines without
+letters and digits): where ``CONFIRM`` of a template's word pairs stand in the joined paragraph, the whole of it and every stretch of up to
+``SPAN`` lines is taken like a line. Their words and word pairs are hashed to a sparse vector of unit length, and an elastic-net multinomial
 logistic regression gives a family or ``unknown``. It is fitted on the templates (whole, and with each word left out in turn) and, as the unknown
 class, on the paragraphs of a bounded sample of documents (``FIT_DOCS`` expected, chosen by a hash) that share few word pairs with any
 template. A fifth of those rows is held back to fit the temperature that calibrates the probabilities. A paragraph counts as
 a licence where the family is the likeliest class, its calibrated probability is at least ``LEAST``, and ``CONFIRM`` of the word
-pairs of one of the family's templates stand in it.
+pairs of one of the family's templates stand in it; of the stretches of a paragraph
+the one with the greatest share counts for a family, unless it overlaps that of another family with a greater share.
 
 Everything runs as DataFrame expressions and ``pyspark.ml`` transformers in the JVM. The model has ``FEATURES`` weights per family.
 
+``n_paragraphs`` counts the lines that are not blank, ``n_licence`` the lines at which a licence stands or begins.
+
 Null and empty texts have no paragraphs. Long paragraphs are taken whole. Repeated rows get equal results; a table without rows gives
 an empty result, and with no row to fit on only the templates are learned. Extra columns are dropped.
 """
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
@@ -59,6 +65,8 @@ FEATURES = 1 << 14
 FIT_DOCS = 3_000
 LEAST, CONFIRM, FAR = 0.5, 0.6, 0.2
 SPLIT = r"[^\p{L}\p{N}]+"
+BREAK = r"\n[^\p{L}\p{N}]*\n"
+SPAN = 8
 TEMPERATURES = [0.1, 0.2, 0.35, 0.5, 0.7, 0.85, 1.0, 1.2, 1.5, 2.0, 3.0, 5.0]
 
 
@@ -70,6 +78,27 @@ def _pairs(words: list[str]) -> list[str]:
     return sorted({f"{a} {b}" for a, b in zip(words, words[1:])})
 
 
+def _telling() -> list[str]:
+    """Words of which every text with ``CONFIRM`` of a template's word pairs has at least one, long words first."""
+    needed = []
+    for template in sorted({t for family in TEMPLATES.values() for t in family}):
+        words = _words(template)
+        left = _pairs(words)
+        spare = len(left) - math.ceil(CONFIRM * len(left) - 1e-9)
+        # as long as enough pairs for the share have none of the words, another word is needed
+        choice = sorted(set(words), key=lambda w: (w not in needed, -len(w), w))
+        while len(left) >= len(_pairs(words)) - spare:
+            word = choice.pop(0)
+            rest = [p for p in left if word not in p.split()]
+            if len(rest) < len(left):
+                needed += [word] if word not in needed else []
+                left = rest
+    return needed
+
+
+TELLING = r"(?<![\p{L}\p{N}])(?:" + "|".join(_telling()) + r")(?![\p{L}\p{N}])"
+
+
 def with_terms(df: DataFrame) -> DataFrame:
     """Add ``words`` and ``pairs`` to rows with a ``paragraph``."""
     worded = df.withColumn("words", F.filter(F.split(F.lower("paragraph"), SPLIT), lambda w: w != ""))
@@ -140,21 +169,57 @@ def fit_licences(docs: DataFrame, text_col: str = "text", fit_docs: int = FIT_DO
     return LicenceModel(regression, TEMPERATURES[best] if losses[0] is not None else 1.0)
 
 
-def licence_paragraphs(docs: DataFrame, model: LicenceModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, key, place, family, probability) of the paragraphs that are licences."""
-    scored = model.regression.transform(with_vectors(with_terms(paragraphs(docs, id_col, text_col))))
+def wrapped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, key, place, paragraph, first, last): stretches of lines, from place to last, of the paragraphs in which a template's word pairs stand; first is the paragraph's."""
+    text = F.col(text_col)
+    source = docs.where(F.lower(text).rlike(TELLING)).select(F.col(id_col).alias("id"), F.xxhash64(F.col(id_col), text).alias("key"), F.explode(F.split(text, BREAK)).alias("paragraph"), text.alias("whole"))
+    blocks = source.where(F.col("paragraph").contains("\n") & F.lower("paragraph").rlike(TELLING))
+    blocks = with_terms(blocks).where(covered() >= CONFIRM).select("id", "key", "whole", "paragraph").distinct()
+    # equal paragraphs of a text stand at the first of their places
+    before = F.expr("substring(whole, 1, locate(paragraph, whole) - 1)")
+    lines = blocks.select("id", "key", (F.size(F.split(before, "\n")) - 1).alias("first"), F.split("paragraph", "\n").alias("lines")).withColumn("n", F.size("lines"))
+    starts = lines.select("id", "key", "first", "lines", "n", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("start"))
+    sizes = F.array_distinct(F.when(F.col("start") == 1, F.array(F.col("n"))).otherwise(F.array().cast("array<int>")))
+    some = F.filter(F.array(*[F.lit(k) for k in range(2, SPAN + 1)]), lambda k: F.col("start") + k - 1 <= F.col("n"))
+    return starts.select("id", "key", "first", (F.col("first") + F.col("start") - 1).alias("place"), "lines", "start", F.explode(F.array_union(sizes, some)).alias("size")).select(
+        "id", "key", "place", F.array_join(F.slice("lines", F.col("start"), F.col("size")), "\n").alias("paragraph"), "first", (F.col("place") + F.col("size") - 1).alias("last"))
+
+
+def _licences(parts: DataFrame, model: LicenceModel) -> DataFrame:
+    """The (id, key, place, paragraph, ...) that are licences, with ``pairs``, family and probability and without the paragraph."""
+    scored = model.regression.transform(with_vectors(with_terms(parts)))
     likely = scored.where(F.col("prediction") < len(FAMILIES)).withColumn("raw", vector_to_array("rawPrediction"))
     family = F.get(F.array(*map(F.lit, FAMILIES)), F.col("prediction").cast("int"))
     likely = likely.withColumn("top", F.array_max("raw")).withColumn("raw", F.transform("raw", lambda x: x - F.col("top")))
     chance = 1 / _spread("raw", model.temperature)
-    likely = likely.select("id", "key", "place", "pairs", family.alias("family"), chance.alias("probability"))
-    return likely.where((F.col("probability") >= LEAST) & (covered(F.col("family")) >= CONFIRM)).drop("pairs")
+    likely = likely.select(*[c for c in parts.columns if c != "paragraph"], "pairs", family.alias("family"), chance.alias("probability"))
+    return likely.where((F.col("probability") >= LEAST) & (covered(F.col("family")) >= CONFIRM))
+
+
+def _begins(stretches: DataFrame) -> DataFrame:
+    """(id, key, place, family, probability): one stretch for each licence of a paragraph."""
+    shared = stretches.withColumn("share", covered(F.col("family")))
+    best = F.max_by(F.struct("family", "place", "last", "probability", "share"), F.struct("share", "probability", -F.col("place"), -F.col("last"))).alias("best")
+    found = shared.groupBy("id", "key", "first", "family").agg(best).groupBy("id", "key", "first").agg(F.collect_list("best").alias("all"))
+    beaten = lambda x: F.exists("all", lambda y: (y["share"] > x["share"]) & (y["place"] <= x["last"]) & (y["last"] >= x["place"]))
+    kept = found.select("id", "key", F.explode(F.filter("all", lambda x: ~beaten(x))).alias("x"))
+    return kept.select("id", "key", "x.place", "x.family", "x.probability")
+
+
+def licence_paragraphs(docs: DataFrame, model: LicenceModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, key, place, family, probability) of the lines that are licences or at which a wrapped one begins."""
+    single = _licences(paragraphs(docs, id_col, text_col), model).drop("pairs")
+    extra = _begins(_licences(wrapped(docs, id_col, text_col), model))
+    # a family that a line of the text holds by itself is known
+    known = single.select("id", "key", "family").distinct()
+    same = extra["id"].eqNullSafe(known["id"]) & (extra["key"] == known["key"]) & (extra["family"] == known["family"])
+    return single.unionByName(extra.join(known, same, "left_anti"))
 
 
 def scan_licences(docs: DataFrame, model: LicenceModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_paragraphs, n_licence, families, score) of every row; families are sorted and comma-joined, score is the highest probability or 0."""
-    found = licence_paragraphs(docs, model, id_col, text_col).dropDuplicates(["id", "key", "place"])
-    found = found.groupBy("id", "key").agg(F.count(F.lit(1)).alias("n"), F.array_join(F.array_sort(F.collect_set("family")), ",").alias("names"), F.max("probability").alias("best"))
+    found = licence_paragraphs(docs, model, id_col, text_col)
+    found = found.groupBy("id", "key").agg(F.countDistinct("place").alias("n"), F.array_join(F.array_sort(F.collect_set("family")), ",").alias("names"), F.max("probability").alias("best"))
     lines = F.filter(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n"), lambda p: F.trim(p) != "")
     every = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("of"), F.size(lines).cast("long").alias("n_paragraphs"))
     joined = every.join(found, every["doc_id"].eqNullSafe(found["id"]) & (every["of"] == found["key"]), "left")
