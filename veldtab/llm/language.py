@@ -1,7 +1,7 @@
 """Language identification: multinomial logistic regression on TF-IDF of hashed character n-grams.
 
 Document frequencies of the n-grams come from all training rows. Weights are learned by follow-the-regularised-leader with
-L1 and L2 penalties on a bounded sample of training rows (``FIT_ROWS`` expected, chosen by a hash), in one task; a fifth of
+L1 and L2 penalties on a bounded sample of training rows (``FIT_ROWS`` different ones at most, those of the smallest hashes), in one task; a fifth of
 the sample is held back to fit the temperature that calibrates the probabilities. The model has a fixed size: ``2**BITS`` weights
 per language. Scoring adds up weights over the positions of a text, piece by piece, so long texts need no more memory.
 
@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veldtab.llm.common import id_bucket, map_batches, table
+from veldtab.llm.quality import sampled
 
 ORDERS = (1, 2, 3)
 BITS = 16
@@ -158,8 +159,7 @@ def fit_language(docs: DataFrame, training: Column, text_col: str = "text", lang
     rows = docs.where(training & F.col(lang_col).isNotNull()).select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     frequencies = document_frequencies(rows.select("text"))
     weight = inverse(frequencies)
-    share = min(1.0, fit_rows / max(1, int(frequencies[-1])))
-    some = rows.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000))
+    some = sampled(rows, fit_rows, "text", "lang").select("text", "lang")
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data = [(*term_shares(text), lang) for batch in batches for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) if has_letter(text)]

@@ -3,8 +3,8 @@
 1. Overlapping heuristic labellers vote on every document: 1 for sound, -1 for junk, 0 for no opinion.
 2. Expectation-maximisation over the counts of vote patterns (at most 3 to the power of the labellers, over all rows)
    estimates how often each labeller gives each vote in either class, and so the posterior of every pattern.
-3. Posteriors label a bounded sample of rows (``fit_rows`` expected, chosen by a hash of id and text), on which a linear scorer
-   over hashed words, word shapes and repeats is fitted by AdaGrad in one task. Its ``2**BITS`` weights score all rows.
+3. Posteriors label a bounded sample of texts (``fit_rows`` at most: those of the smallest hashes; equal texts count once, so
+   no text can fill the sample or outweigh the others), on which a linear scorer over hashed words, word shapes and repeats is fitted by AdaGrad in one task. Its ``2**BITS`` weights score all rows.
 
 Nulls and empty texts get no vote but the labeller's for emptiness (junk) and are judged like any other row.
 Repeated rows get equal scores. An empty table gives an empty result, and with no row to fit on every score is the posterior's prior of one half.
@@ -21,11 +21,10 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veldtab.llm.common import as_bytes, map_batches, packed, table, unpacked
-from veldtab.sources.storage import write_through
 
 BITS = 18
 FIT_ROWS = 12_000
@@ -136,10 +135,16 @@ def fit_scorer(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, ep
     return weights
 
 
-def sampled(docs: DataFrame, expected: int, *columns: Column) -> Column:
-    """A condition that about ``expected`` rows meet, by a hash; all rows where there are no more."""
-    share = min(1.0, expected / max(1, docs.count()))
-    return F.pmod(F.xxhash64(*columns), F.lit(1_000_000)) < int(share * 1_000_000)
+def sampled(docs: DataFrame, most: int, *columns: str) -> DataFrame:
+    """At most ``most`` rows with different values of the columns, those of the smallest hashes, with the hash as ``hash``; other columns are dropped.
+
+    Equal values meet on the map side, so a frequent value costs its task no more than a rare one. Null counts as empty.
+    """
+    hashed = docs.select(*columns, F.xxhash64(*[F.coalesce(F.col(c).cast("binary"), F.lit(b"")) for c in columns]).alias("hash"))
+    cut = hashed.select("hash").distinct().orderBy("hash").limit(most).agg(F.max("hash").alias("cut")).first()["cut"]
+    if cut is None:
+        return hashed.limit(0)
+    return hashed.where(F.col("hash") <= cut).dropDuplicates(["hash"])
 
 
 class QualityModel:
@@ -150,26 +155,25 @@ class QualityModel:
 
 
 def fit_quality(docs: DataFrame, text_col: str = "text", fit_rows: int = FIT_ROWS) -> QualityModel:
-    """Fit labeller rates on all rows and the scorer on a sample of ``fit_rows`` rows (expected)."""
-    source = docs.select(F.col(text_col).cast("binary").alias("text"), sampled(docs, fit_rows, F.col(text_col)).alias("chosen"))
-    voted = map_batches(source, "votes string, chosen boolean, text binary", lambda batch: {
-        "votes": [votes(Facts(t)) for t in as_bytes(batch.column(0))], "chosen": batch.column(1),
-        "text": pa.array([t if c else None for t, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())], pa.binary())})
-    voted = write_through(voted, "votes")
+    """Fit labeller rates on all rows and the scorer on a sample of at most ``fit_rows`` different texts."""
+    source = docs.select(F.col(text_col).cast("binary").alias("text"))
+    voted = map_batches(source, "votes string", lambda batch: {"votes": [votes(Facts(t)) for t in as_bytes(batch.column(0))]})
     posterior, rates = em({r["votes"]: r["n"] for r in voted.groupBy("votes").agg(F.count(F.lit(1)).alias("n")).collect()})
 
     def train(batches):
         rows, labels = [], []
         for batch in batches:
-            for text, pattern in zip(as_bytes(batch.column(0)), batch.column(1).to_pylist()):
-                rows.append(features(Facts(text)))
-                labels.append(posterior[pattern])
+            for text in as_bytes(batch.column(0)):
+                facts = Facts(text)
+                rows.append(features(facts))
+                labels.append(posterior[votes(facts)])
         if rows:
             weights = fit_scorer(rows, np.array(labels))
             used = np.flatnonzero(weights)
             yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(weights[used])], ["at", "weight"])
 
-    fitted = voted.where("chosen").select("text", "votes").repartition(1).mapInArrow(train, "at long, weight double").toArrow()
+    some = sampled(source, fit_rows, "text").repartition(1).sortWithinPartitions("hash").select("text")
+    fitted = some.mapInArrow(train, "at long, weight double").toArrow()
     if not fitted.num_rows:
         return QualityModel(posterior, rates, None)
     weights = np.zeros(1 << BITS)
