@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from veldtab.llm import context_tree, decontaminate, language, licenses, merge_count, mixing, order_minhash, quality, secrets, simhash
+from veldtab.llm import (context_tree, decontaminate, language, licenses, merge_count, mixing, order_minhash, periodic_runs, quality, secrets, simhash,
+                         toxicity, whitening)
 
 QUERIES = {
     "op1_context_tree_scores": context_tree.op1_context_tree_scores,
@@ -15,6 +16,9 @@ QUERIES = {
     "op8_weak_label_quality": quality.op8_weak_label_quality,
     "op9_licence_scan": licenses.op9_licence_scan,
     "op10_order_minhash": order_minhash.op10_order_minhash,
+    "op11_whitened_embeddings": whitening.op11_whitened_embeddings,
+    "op12_periodic_runs": periodic_runs.op12_periodic_runs,
+    "op13_toxicity": toxicity.op13_toxicity,
 }
 ORACLES = {
     "op2_raked_mix": mixing.OP2_SQL,
