@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veldtab.llm import decontaminate, mixing, near_copies, quality, secrets
+from veldtab.llm import decontaminate, mixing, quality, secrets, simhash
 from veldtab.llm.common import table
 from veldtab.sources.storage import write_through
 
@@ -19,8 +19,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, similarity 0.8): the one with the smallest id."""
-    return near_copies.drop_near_duplicates(docs)
+    """One document of each component of fingerprints of four-word shingles that differ in at most four bits: the one with the smallest id."""
+    return simhash.drop_near_duplicates(docs)
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
