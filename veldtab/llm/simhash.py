@@ -10,7 +10,8 @@ one variant are within the full distance of each other, so linking each to the s
 lists all pairs; links are compared bit by bit all the same, and each task hands on a spanning forest of its links.
 
 Null and blank texts have fingerprint zero and are linked like any other. Repeated rows and ids share a component.
-An empty table gives an empty result. Extra columns are dropped. The pipeline's stage compares texts instead (``near_copies``).
+Very long texts are voted on in pieces. An empty table gives an empty result. Extra columns are dropped by ``near_duplicates`` and kept, whatever
+their names, by ``drop_near_duplicates``; there rows without an id take part and come last.
 """
 
 from __future__ import annotations
@@ -21,11 +22,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veldtab.llm.common import LOWER_ASCII, as_bytes, connected_components, map_batches, table
-from veldtab.llm.near_copies import drop_near_duplicates  # noqa: F401
+from veldtab.llm.common import LOWER_ASCII, ROW, as_bytes, connected_components, map_batches, packed, table
 from veldtab.sources.storage import write_through
 
 SHINGLE = 4
@@ -170,17 +170,34 @@ def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     return dealt.sortWithinPartitions("upper").mapInArrow(meet, "u long, v long")
 
 
+def components(known: DataFrame, least: Column, distance: int = DISTANCE) -> DataFrame:
+    """(fp, least): for each fingerprint of ``known`` the smallest value of ``least`` in its component."""
+    classes = known.groupBy("fp").agg(F.min(least).alias("least"))
+    groups = connected_components(links(known, distance), "simhash-links")
+    rooted = classes.join(groups, classes["fp"] == groups["node"], "left").select("fp", F.coalesce("component", "fp").alias("root"), "least")
+    roots = rooted.groupBy("root").agg(F.min("least").alias("least"))
+    return rooted.drop("least").join(roots, "root").select("fp", "least")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """(doc_id, fp, component_id): the smallest id reachable over links of at most ``distance`` differing bits."""
     known = write_through(fingerprints(docs, id_col, text_col, shingle), "simhash")
-    classes = known.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    groups = connected_components(links(known, distance), "simhash-links")
-    rooted = classes.join(groups, classes["fp"] == groups["node"], "left").select("fp", F.coalesce("component", "fp").alias("root"), "least")
-    roots = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(roots, "root").select("fp", "component_id")
+    named = components(known, F.col("doc_id"), distance).select("fp", F.col("least").alias("component_id"))
     return known.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """One row of each component: that of the smallest id (nulls last), then of the smallest hash of id and text; rows equal in both are one."""
+    name = F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit("\n"), F.coalesce(F.col(text_col), F.lit(""))))
+    keyed = packed(docs, F.col(id_col).alias("id"), name.alias("name"), F.col(text_col).alias("text"))
+    rows = keyed.select(F.struct("id", "name").alias("key"), "text")
+    known = write_through(fingerprints(rows, "key", "text", shingle).select(F.col("doc_id.id").alias("id"), F.col("doc_id.name").alias("name"), "fp"), "simhash")
+    order = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("name"))
+    keep = components(known, order, distance).select(F.col("least.name").alias("name")).distinct()
+    # equal rows are folded on the map side; the join finds them dealt by the same key
+    return keyed.select(ROW, "name").dropDuplicates(["name"]).join(keep, "name", "left_semi").select(f"{ROW}.*")
+
+
 def op6_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
