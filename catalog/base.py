@@ -173,10 +173,23 @@ tr AS (SELECT s_suppkey AS trial, 3 + {_DIGIT.format(1)} % 8 AS max_depth, 0.01
 
 
 def ks_sf(d: str, n: str, m: str) -> str:
-    """Asymptotic two-sample tail as SQL."""
+    """Two-sample tail as SQL: the series beyond 10,000 values a side, else one minus the share of lattice paths that stay inside the band.
+
+    The list holds the shares at the points of one diagonal i + j = s inside the band, from its first i on.
+    """
     lam = f"(({d}) * sqrt(CAST({n} AS DOUBLE) * {m} / ({n} + {m})))"
-    return (f"CASE WHEN {lam} < 0.2 THEN 1.0 ELSE greatest(0.0, least(1.0, 2 * list_sum(list_transform(range(1, 101), "
-            f"lambda k: (CASE WHEN k % 2 = 1 THEN 1.0 ELSE -1.0 END) * exp(-2.0 * k * k * pow({lam}, 2)))))) END")
+    series = (f"CASE WHEN {lam} < 0.2 THEN 1.0 ELSE greatest(0.0, least(1.0, 2 * list_sum(list_transform(range(1, 101), "
+              f"lambda k: (CASE WHEN k % 2 = 1 THEN 1.0 ELSE -1.0 END) * exp(-2.0 * k * k * pow({lam}, 2)))))) END")
+    nn, mm = f"CAST({n} AS BIGINT)", f"CAST({m} AS BIGINT)"
+    h = f"CAST(round(({d}) * {nn} * {mm}) AS BIGINT)"
+    low = lambda s: f"greatest(0, {s} - {mm}, CAST(floor(({s} * {nn} - {h}) / CAST({nn} + {mm} AS DOUBLE)) AS BIGINT) + 1)"
+    high = lambda s: f"least({nn}, {s}, CAST(ceil(({s} * {nn} + {h}) / CAST({nn} + {mm} AS DOUBLE)) AS BIGINT) - 1)"
+    s = "CAST(step[1] AS BIGINT)"
+    at = lambda i: f"coalesce(held[{i} - {low(f'({s} - 1)')} + 1], 0.0)"
+    one = (f"list_transform(range({low(s)}, {high(s)} + 1), lambda i: (i * (CASE WHEN i - 1 < {low(f'({s} - 1)')} THEN 0.0 ELSE {at('(i - 1)')} END)"
+           f" + ({s} - i) * {at('i')}) / {s})")
+    paths = (f"list_reduce(list_transform(range(1, {nn} + {mm} + 1), lambda s0: [CAST(s0 AS DOUBLE)]), lambda held, step: {one}, [CAST(1.0 AS DOUBLE)])")
+    return f"CASE WHEN greatest({n}, {m}) > 10000 THEN {series} WHEN {h} <= 0 THEN 1.0 ELSE greatest(0.0, 1 - coalesce({paths}[1], 0.0)) END"
 
 
 def chi2_sf(stat: str, df: str) -> str:

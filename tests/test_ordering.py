@@ -1,12 +1,15 @@
 """Running sums, order statistics and splits against brute force, with ties, signs and hot keys."""
 
+import math
+from itertools import combinations
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from veldtab.functions import ordering as O
-from veldtab.functions.distributions import chi2_sf, ks_pvalue
+from veldtab.functions.distributions import chi2_sf, ks_asymptotic, ks_exact, ks_pvalue
 from veldtab.operators import drift as D
 from veldtab.operators import splits as S
 
@@ -87,5 +90,36 @@ def test_tail_probabilities(spark):
     df = spark.createDataFrame(rows, "x double, df int, p double")
     for r in df.select("p", chi2_sf(F.col("x"), F.col("df")).alias("q")).collect():
         assert r["q"] == pytest.approx(r["p"], abs=1e-7)
-    p = spark.range(1).select(ks_pvalue(F.lit(1.0), F.lit(6), F.lit(6)).alias("p")).first()["p"]
+    p = spark.range(1).select(ks_asymptotic(F.lit(1.0), F.lit(6), F.lit(6)).alias("p")).first()["p"]
     assert p == pytest.approx(0.00496, abs=1e-5)
+
+
+def arrangements(n, m):
+    """Distance of every merged order of n and m values, in units of 1/(n m)."""
+    out = []
+    for mine in combinations(range(n + m), n):
+        i, far = 0, 0
+        for k in range(n + m):
+            i += k in mine
+            far = max(far, abs(i * m - (k + 1 - i) * n))
+        out.append(far)
+    return out
+
+
+@pytest.mark.parametrize("n,m", [(1, 1), (1, 5), (2, 7), (3, 3), (4, 6), (5, 5), (6, 4), (6, 7)])
+def test_exact_two_sample_law(spark, n, m):
+    far = arrangements(n, m)
+    rows = [(d / (n * m), n, m, sum(x >= d for x in far) / len(far)) for d in sorted(set(far))]
+    df = spark.createDataFrame(rows, "d double, n long, m long, want double")
+    assert all(abs(r.want - r.p) < 1e-12 for r in df.withColumn("p", ks_pvalue(F.col("d"), F.col("n"), F.col("m"))).collect())
+
+
+def test_two_sample_law_for_more_values(spark):
+    # all values of the smaller sample on one side: 2 of C(n+m, n) orders; the exact law nears the asymptotic one; beyond the limit it is used
+    assert ks_exact(1.0, 30, 40) == pytest.approx(2 / math.comb(70, 30), rel=1e-9)
+    rows = [(0.02, 10_000, 10_000), (0.02, 10_001, 10_000), (0.4238095, 20, 21), (8 / 11, 5, 11), (0.0, 5, 5)]
+    df = spark.createDataFrame(rows, "d double, n long, m long")
+    p = [r.p for r in df.select(ks_pvalue(F.col("d"), F.col("n"), F.col("m")).alias("p")).collect()]
+    q = [r.p for r in df.select(ks_asymptotic(F.col("d"), F.col("n"), F.col("m")).alias("p")).collect()]
+    assert p[0] != q[0] and p[0] == pytest.approx(q[0], abs=2e-3) and p[1] == q[1] and p[4] == 1
+    assert p[2] == pytest.approx(0.0283, abs=1e-4) and p[3] == pytest.approx(0.0293, abs=1e-4)

@@ -4,17 +4,70 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 # Terms kept in the alternating Kolmogorov series; below LAMBDA_ONE the tail is 1 to 12 digits.
 KS_TERMS = 100
 LAMBDA_ONE = 0.2
 FRACTION_DEPTH = 80
+#: Fixed value: up to so many values on the larger side the p-value is exact.
+EXACT_VALUES = 10_000
+
+
+def ks_exact(d: float, n: int, m: int) -> float:
+    """Chance that the distance of two samples of n and m values from one continuous law is at least d.
+
+    Every merged order of the two samples is a lattice path to (n, m), all equally likely. Along the diagonals i + j = s, the share of
+    paths to (i, j) that have been at distance d or more is 1 beyond the band |i/n - j/m| < d, and inside it the mean of the
+    two points before, weighted i : j. Only the band is computed, and as nothing is subtracted small tails keep their digits.
+    """
+    if n > m:
+        n, m = m, n
+    unit = math.gcd(n, m)
+    h = round(d * n * m / unit) * unit
+    if h <= 0:
+        return 1.0
+    if h > n * m:
+        return 0.0
+    left, both = np.ones(n + 2), n + m  # left[i + 1] is the share at (i, s - i); points off the grid have no weight
+    left[1] = 0.0
+    weight = np.arange(n + 1, dtype=float)
+    before = (0, 0)
+    for s in range(1, both + 1):
+        low = max(0, s - m, (s * n - h) // both + 1)
+        high = min(n, s, -((-s * n - h) // both) - 1)
+        if low > high:
+            return 1.0
+        i = weight[low:high + 1]
+        inside = (i * left[low:high + 1] + (s - i) * left[low + 1:high + 2]) / s
+        left[before[0] + 1:low + 1] = 1.0
+        left[low + 1:high + 2] = inside
+        left[high + 2:before[1] + 2] = 1.0
+        before = low, high
+    return float(left[n + 1])
+
+
+@F.pandas_udf(DoubleType())
+def _ks_exact(d: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
+    some = lambda x, a, b: ks_exact(x, int(a), int(b)) if x == x and min(a, b) > 0 and max(a, b) <= EXACT_VALUES else None
+    return pd.Series([some(*row) for row in zip(d, n, m)], dtype=float)
 
 
 def ks_pvalue(d: Column, n_ref: Column, n_new: Column) -> Column:
-    """Asymptotic two-sided p-value of the two-sample Kolmogorov-Smirnov distance."""
+    """Two-sided p-value of the two-sample Kolmogorov-Smirnov distance: exact up to ``EXACT_VALUES`` a side, asymptotic beyond.
+
+    One row is one test, so the exact law is counted in batches of tests, spread like the rows.
+    """
+    exact = _ks_exact(d.cast("double"), n_ref.cast("double"), n_new.cast("double"))
+    return F.when(F.greatest(n_ref, n_new) <= EXACT_VALUES, exact).otherwise(ks_asymptotic(d, n_ref, n_new))
+
+
+def ks_asymptotic(d: Column, n_ref: Column, n_new: Column) -> Column:
+    """The limit of the p-value for many values."""
     lam = d * F.sqrt(n_ref.cast("double") * n_new / (n_ref + n_new))
     series = F.aggregate(
         F.sequence(F.lit(1), F.lit(KS_TERMS)), F.lit(0.0),
