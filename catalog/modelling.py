@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import functions as F
 
 from catalog.base import query, rounded, table
@@ -61,14 +60,39 @@ def part(df, which):
 def _(spark, sf):
     """Preparation, boosted trees, exact test metrics."""
     _, df = prepared(spark, sf)
-    model = I.tree_estimator("classification", SMALL).fit(part(df, "train"))
+    model = I.fit_trees(part(df, "train"), "classification", SMALL, key_cols=KEY)
     return rounded(M.classification_suite(I.scored(model, part(df, "test"), "classification")))
 
 
+def _stump(l1, l2):
+    """The best first cut of the gain with penalties as SQL, over two features with few values."""
+    kept = lambda g: f"greatest(abs({g}) - {l1}, 0)"
+    leaf = lambda g, h: f"-sign({g}) * {kept(g)} / ({h} + {l2})"
+    return f"""WITH r AS (SELECT l_linenumber::DOUBLE AS a, l_quantity::DOUBLE AS b, l_extendedprice::DOUBLE / 1000 AS y FROM lineitem),
+m AS (SELECT avg(y) AS base, count(*) AS n FROM r), v AS (SELECT 0 AS feature, a AS x, y FROM r UNION ALL SELECT 1, b, y FROM r),
+s AS (SELECT feature, x, sum(base - y) AS g, count(*) AS h FROM v, m GROUP BY 1, 2),
+c AS (SELECT feature, x, sum(g) OVER w AS gl, sum(h) OVER w AS hl, sum(g) OVER (PARTITION BY feature) AS g, sum(h) OVER (PARTITION BY feature) AS h, row_number() OVER (PARTITION BY feature ORDER BY x DESC) AS k
+      FROM s WINDOW w AS (PARTITION BY feature ORDER BY x)),
+b AS (SELECT *, pow({kept('gl')}, 2) / (hl + {l2}) + pow({kept('(g - gl)')}, 2) / (h - hl + {l2}) AS worth FROM c WHERE k > 1)
+SELECT feature, x AS threshold, round({leaf('gl', 'hl')}, 6) AS low_value, round({leaf('(g - gl)', '(h - hl)')}, 6) AS high_value, CAST(h AS BIGINT) AS n FROM b ORDER BY worth DESC LIMIT 1"""
+
+
+@query("i1_leaf_penalties", _stump(500.0, 300.0))
+def _(spark, sf):
+    """One cut of the booster with L1 and L2 penalties: feature, threshold and both leaves."""
+    rows = table(spark, sf, "lineitem").select(F.array(F.col("l_linenumber").cast("double"), F.col("l_quantity").cast("double")).alias("features"),
+                                               (F.col("l_extendedprice").cast("double") / 1000).alias("y"), "l_orderkey", "l_linenumber")
+    model = I.fit_trees(rows, "regression", I.TreeParams(1, 1, 1.0, 1.0, 1.0, 1, 500.0, 300.0), key_cols=["l_orderkey", "l_linenumber"])
+    tree = model.rounds[0][0]
+    scored = I.scored(model, rows, "regression")
+    return scored.agg(F.count("yhat").alias("n")).select(F.lit(tree.feature[0]).alias("feature"), F.lit(tree.threshold[0]).alias("threshold"),
+                                                         F.lit(round(tree.value[1], 6)).alias("low_value"), F.lit(round(tree.value[2], 6)).alias("high_value"), "n")
+
+
 @query("i1_regressor_metrics")
 def _(spark, sf):
     _, df = prepared(spark, sf)
-    model = I.tree_estimator("regression", SMALL, label="price").fit(part(df, "train"))
+    model = I.fit_trees(part(df, "train"), "regression", SMALL, label="price", key_cols=KEY)
     return rounded(M.metric_rows(M.regression_metrics(I.scored(model, part(df, "test"), "regression"), "price")))
 
 
@@ -147,6 +171,19 @@ def _(spark, sf):
     return rounded(I.round_log(stopped, df).withColumn("best_iteration", F.lit(stopped.best_iteration)))
 
 
+@query("i4_patience", f"SELECT n, 3 AS patience, true AS stopped_by_patience, true AS best_is_least, true AS model_ends_at_best FROM ({_TEST_ROWS})")
+def _(spark, sf):
+    """Rounds on labels without any relation to the features: the held-out loss soon rises, and the fit stops three rounds after its best."""
+    _, df = prepared(spark, sf, FeatureRoles(tuple(NUM)))
+    noise = df.withColumn("y", (F.crc32(F.concat_ws(":", *KEY).cast("binary")) % 2).cast("int"))
+    stopped = I.fit_early_stopped(part(noise, "train"), part(noise, "val"), "classification", I.TreeParams(60, 3, 0.5, 1.0, 1.0, 1), patience=3, key_cols=KEY)
+    held = [v for _, v in stopped.rounds]
+    least = held.index(min(held)) + 1
+    return part(noise, "test").agg(F.count("*").alias("n")).withColumns({
+        "patience": F.lit(3), "stopped_by_patience": F.lit(len(held) == least + 3), "best_is_least": F.lit(stopped.best_iteration == least),
+        "model_ends_at_best": F.lit(stopped.model.getNumTrees == least)})
+
+
 @query("i5_final_fit")
 def _(spark, sf):
     _, df = prepared(spark, sf)
@@ -223,13 +260,14 @@ def _(spark, sf):
     return rounded(before.unionByName(M.calibration_metrics(calibrated, p="p_calibrated").withColumn("variant", F.lit("calibrated"))))
 
 
-@query("j4_quantile_intervals")
+@query("j4_quantile_intervals", f"SELECT n, CAST(0 AS BIGINT) AS n_crossed, true AS near_nominal FROM ({_TEST_ROWS})")
 def _(spark, sf):
+    """Models of the .05 and .95 quantile by pinball loss; the test rows between them are within three points of 90 %."""
     _, df = prepared(spark, sf)
-    tree = DecisionTreeRegressor(featuresCol="features", labelCol="price", maxDepth=4, leafCol="leaf").fit(part(df, "train"))
-    train, test = tree.transform(part(df, "train")), tree.transform(part(df, "test"))
-    out = U.leaf_intervals(train, test, "leaf", "price", "prediction")
-    return rounded(out.agg(F.count("*").alias("n"), F.avg(F.col("price").between(F.col("quantile_lower"), F.col("quantile_upper")).cast("double")).alias("coverage")))
+    lower, upper = I.fit_quantiles(part(df, "train"), I.TreeParams(5, 3, 0.5, 1.0, 1.0, 20), label="price", key_cols=KEY)
+    out = U.quantile_intervals(part(df, "test"), lower, upper)
+    inside = F.avg(F.col("price").between(F.col("quantile_lower"), F.col("quantile_upper")).cast("double"))
+    return out.agg(F.count("*").alias("n"), F.count_if(F.col("quantile_lower") > F.col("quantile_upper")).alias("n_crossed"), (F.abs(inside - 0.9) < 0.03).alias("near_nominal"))
 
 
 # -- K: scoring ----------------------------------------------------------------------------------

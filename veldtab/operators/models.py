@@ -1,4 +1,4 @@
-"""Trained models on ``pyspark.ml`` trees: preparation, fit, search, ensemble, calibration."""
+"""Trained models: preparation, fits of boosted trees, search, ensemble, calibration."""
 
 from __future__ import annotations
 
@@ -26,6 +26,7 @@ from veldtab.functions.hashing import hash_order
 from veldtab.functions.jobs import in_parallel
 from veldtab.operators import metrics as M
 from veldtab.operators import prep as E
+from veldtab.operators.boosting import BoostedModel, Boosting, Loss, TreeParams, fit_boosted, loss_for, no_better_for
 from veldtab.operators.profiling import PROBABILITY_METRICS, FeatureRoles
 from veldtab.operators.splits import fold_count, most_recent, search_rows, stratified_folds, stratified_sample, time_blocks
 from veldtab.operators.thresholds import ThresholdPolicy, tune_threshold
@@ -148,21 +149,15 @@ def feature_names(prepared: DataFrame) -> list[str]:
 
 # -- fits ----------------------------------------------------------------------------------------
 
-@dataclass(frozen=True)
-class TreeParams:
-    n_estimators: int = 50
-    max_depth: int = 4
-    learning_rate: float = 0.1
-    subsample: float = 0.8
-    colsample: float = 0.8
-    min_child_weight: int = 1
-
-    def replaced(self, **changes) -> "TreeParams":
-        return TreeParams(**{**self.__dict__, **changes})
+def fit_trees(train: DataFrame, task: str, params: TreeParams = TreeParams(), *, label: str = "y", weight: str | None = None, n_classes: int = 2,
+              key_cols: list[str] = (), **options) -> BoostedModel:
+    """Second-order trees with leaf penalties; more than two classes share their gradients by softmax."""
+    return fit_boosted(train, loss_for(task, n_classes), params, label=label, weight=weight, key_cols=key_cols, features=FEATURES, **options)
 
 
 def tree_estimator(task: str, params: TreeParams = TreeParams(), *, label: str = "y", weight: str | None = None,
                    validation: str | None = None, tolerance: float = 0.01, seed: int = SEED):
+    """Trees of ``pyspark.ml``, which know no leaf penalties."""
     cls = GBTClassifier if task == "classification" else GBTRegressor
     est = cls(featuresCol=FEATURES, labelCol=label, maxIter=params.n_estimators, maxDepth=params.max_depth,
               stepSize=params.learning_rate, subsamplingRate=params.subsample, minInstancesPerNode=max(1, int(params.min_child_weight)),
@@ -192,7 +187,12 @@ class ClassModels:
         return out.withColumn("pred", pred).drop(*[f"_p{k}" for k in range(len(self.models))])
 
 
-def fit_multiclass(train: DataFrame, n_classes: int, params: TreeParams = TreeParams(), *, label: str = "y") -> ClassModels:
+def fit_multiclass(train: DataFrame, n_classes: int, params: TreeParams = TreeParams(), *, label: str = "y", **options) -> BoostedModel:
+    """One tree per class and round, from the gradients of one softmax loss."""
+    return fit_boosted(train, Loss("softmax", n_classes), params, label=label, features=FEATURES, **options)
+
+
+def fit_one_vs_rest(train: DataFrame, n_classes: int, params: TreeParams = TreeParams(), *, label: str = "y") -> ClassModels:
     """The classes are fitted at the same time from one cached table."""
     cached = train.persist(StorageLevel.MEMORY_AND_DISK)
 
@@ -208,7 +208,7 @@ def fit_multiclass(train: DataFrame, n_classes: int, params: TreeParams = TreePa
 
 def scored(model, df: DataFrame, task: str) -> DataFrame:
     """Scored rows in one shape: probs, p, pred for classes, yhat for values."""
-    if isinstance(model, ClassModels):
+    if isinstance(model, (ClassModels, BoostedModel)):
         return model.transform(df)
     out = model.transform(df)
     if task == "regression":
@@ -225,22 +225,10 @@ class EarlyStopped:
 
 
 def fit_early_stopped(train: DataFrame, val: DataFrame, task: str, params: TreeParams = TreeParams(), *, label: str = "y",
-                      weight: str | None = None, tolerance: float = 0.01) -> EarlyStopped:
-    """Stop when the validation loss no longer improves; the best round is its minimum."""
-    both = (train.withColumn("_val", F.lit(False)).unionByName(val.withColumn("_val", F.lit(True)), allowMissingColumns=True)
-            .persist(StorageLevel.MEMORY_AND_DISK))
-    try:
-        model = tree_estimator(task, params, label=label, weight=weight, validation="_val", tolerance=tolerance).fit(both)
-        losses = list(zip(round_losses(model, both.where("not _val"), task), round_losses(model, both.where("_val"), task)))
-    finally:
-        both.unpersist()
-    best = min(range(len(losses)), key=lambda i: losses[i][1]) + 1
-    return EarlyStopped(model, best, losses)
-
-
-def round_losses(model, df: DataFrame, task: str) -> list[float]:
-    """Loss after every boosting round."""
-    return [float(x) for x in (model.evaluateEachIteration(df, "squared") if task == "regression" else model.evaluateEachIteration(df))]
+                      weight: str | None = None, patience: int = 30, n_classes: int = 2, key_cols: list[str] = ()) -> EarlyStopped:
+    """Stop after ``patience`` rounds without a better validation loss; the model ends at the best round, ``rounds`` has all that were fitted."""
+    model = fit_trees(train, task, params, label=label, weight=weight, n_classes=n_classes, key_cols=key_cols, validation=val, patience=patience)
+    return EarlyStopped(model, model.getNumTrees, list(model.losses))
 
 
 def round_log(stopped: EarlyStopped, df: DataFrame) -> DataFrame:
@@ -248,19 +236,18 @@ def round_log(stopped: EarlyStopped, df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "round int, train_loss double, val_loss double")
 
 
-def fit_final(df: DataFrame, task: str, params: TreeParams, best_n: int, *, split: str = "split", label: str = "y", weight: str | None = None):
+def fit_final(df: DataFrame, task: str, params: TreeParams, best_n: int, *, split: str = "split", label: str = "y", weight: str | None = None, **options):
     """Fit on train and val together with the tuned number of trees."""
-    return tree_estimator(task, params.replaced(n_estimators=max(1, int(best_n))), label=label, weight=weight).fit(
-        df.where(F.col(split).isin("train", "val")))
+    return fit_trees(df.where(F.col(split).isin("train", "val")), task, params.replaced(n_estimators=max(1, int(best_n))), label=label, weight=weight, **options)
 
 
 # -- search --------------------------------------------------------------------------------------
 
 # Search ranges (low, high, step or None, log scale).
 NARROW = {"max_depth": (3, 7, 1, False), "learning_rate": (0.01, 0.2, None, True), "subsample": (0.6, 1.0, None, False),
-          "colsample": (0.6, 1.0, None, False), "min_child_weight": (1, 5, 1, False)}
+          "colsample": (0.6, 1.0, None, False), "min_child_weight": (1, 5, 1, False), "l1": (1e-4, 1.0, None, True), "l2": (0.1, 5.0, None, True)}
 WIDE = {"max_depth": (3, 10, 1, False), "learning_rate": (0.001, 0.3, None, True), "subsample": (0.5, 1.0, None, False),
-        "colsample": (0.4, 1.0, None, False), "min_child_weight": (1, 10, 1, False)}
+        "colsample": (0.4, 1.0, None, False), "min_child_weight": (1, 10, 1, False), "l1": (1e-5, 10.0, None, True), "l2": (1e-2, 10.0, None, True)}
 
 
 def draw_params(n_trials: int, *, wide: bool = False, n_estimators: tuple[int, int] = (100, 500), seed: int = SEED) -> list[TreeParams]:
@@ -282,19 +269,19 @@ def score_model(model, df: DataFrame, task: str, metric: str, label: str = "y")
     """Exact metric of a model on a prepared table, higher is better."""
     rows = scored(model, df, task)
     cols = dict(y=label, yhat="yhat") if task == "regression" else dict(y=label)
-    binary = not isinstance(model, ClassModels)
+    binary = not isinstance(model, ClassModels) and not (isinstance(model, BoostedModel) and model.loss.outputs > 1)
     if not binary and metric in PROBABILITY_METRICS and metric not in ("log_loss", "cross_entropy"):
         raise ValueError(f"{metric} needs a binary target")
     return float(M.score(rows, metric, probs=None if binary else "probs", **cols).first()["value"])
 
 
 TRIAL_SCHEMA = ("trial int, n_estimators int, max_depth int, learning_rate double, subsample double, colsample double, "
-                "min_child_weight int, score double, state string")
+                "min_child_weight int, l1 double, l2 double, score double, state string")
 
 
 def search(prepared: DataFrame, task: str, metric: str, class_col: str | None, key_cols: list[str], *, n_trials: int = 30, wide: bool = False,
            n_estimators: tuple[int, int] = (100, 500), folds: int = 5, validation: DataFrame | None = None, fraction: float = 0.6,
-           label: str = "y", parallelism: int = 4, seed: int = SEED, strategy: str = "cv", max_rows: int | None = None, time_col: str | None = None) -> DataFrame:
+           label: str = "y", parallelism: int = 4, seed: int = SEED, strategy: str = "cv", max_rows: int | None = None, time_col: str | None = None, n_classes: int = 2) -> DataFrame:
     """Trial table: ``fraction`` of the rows (at most ``max_rows``) in folds (``cv``), folds in order of time (``time``), or one fit against ``validation`` (``holdout``).
 
     Folds are reduced to what the smallest class allows. Folds in time validate on block i what was fitted on the blocks before it; where ``max_rows`` is
@@ -317,17 +304,20 @@ def search(prepared: DataFrame, task: str, metric: str, class_col: str | None, k
         work, fold = time_blocks(most_recent(prepared, time_col, max_rows, key_cols) if max_rows else prepared, time_col, folds), "block"
     work = work.persist(StorageLevel.MEMORY_AND_DISK)
 
+    def fit(rows: DataFrame, params: TreeParams) -> BoostedModel:
+        return fit_trees(rows, task, params, label=label, n_classes=n_classes, key_cols=key_cols, seed=seed)
+
     def run(item):
         i, params = item
         try:
             if use_cv:
                 earlier = (lambda f: F.col(fold) < f) if strategy == "time" else (lambda f: F.col(fold) != f)
                 held = range(1, folds + 1) if strategy == "time" else range(folds)
-                scores = [score_model(tree_estimator(task, params, label=label).fit(work.where(earlier(f))),
+                scores = [score_model(fit(work.where(earlier(f)), params),
                                       work.where(F.col(fold) == f), task, metric, label) for f in held]
                 score = sum(scores) / len(scores)
             else:
-                score = score_model(tree_estimator(task, params, label=label).fit(work), validation, task, metric, label)
+                score = score_model(fit(work, params), validation, task, metric, label)
             return (*_trial(i, params), score, "complete")
         except FIT_ERRORS as exc:  # a failed fit is recorded, the search goes on
             return (*_trial(i, params), None, f"failed: {type(exc).__name__}")
@@ -342,11 +332,11 @@ def search(prepared: DataFrame, task: str, metric: str, class_col: str | None, k
 
 
 def _trial(i: int, p: TreeParams) -> tuple:
-    return i, p.n_estimators, p.max_depth, float(p.learning_rate), float(p.subsample), float(p.colsample), int(p.min_child_weight)
+    return i, p.n_estimators, p.max_depth, float(p.learning_rate), float(p.subsample), float(p.colsample), int(p.min_child_weight), float(p.l1), float(p.l2)
 
 
 def trial_params(row) -> TreeParams:
-    return TreeParams(*[row[k] for k in ("n_estimators", "max_depth", "learning_rate", "subsample", "colsample", "min_child_weight")])
+    return TreeParams(*[row[k] for k in ("n_estimators", "max_depth", "learning_rate", "subsample", "colsample", "min_child_weight", "l1", "l2")])
 
 
 def best_trials(trials: DataFrame, k: int = 1) -> list:
@@ -354,22 +344,33 @@ def best_trials(trials: DataFrame, k: int = 1) -> list:
 
 
 def tree_count_by_folds(prepared: DataFrame, task: str, params: TreeParams, class_col: str | None, key_cols: list[str], *, folds: int = 3,
-                        label: str = "y", parallelism: int = 4, seed: int = SEED) -> tuple[int, DataFrame]:
-    """Mean held-out loss per boosting round over the folds; the best round is the tree count."""
+                        label: str = "y", parallelism: int = 4, seed: int = SEED, patience: int = 20, n_classes: int = 2) -> tuple[int, DataFrame]:
+    """Mean held-out loss per boosting round over the folds, round by round until ``patience`` rounds have not bettered it; the best round is the tree count."""
     work = stratified_folds(prepared, class_col, key_cols, folds, seed=seed).persist(StorageLevel.MEMORY_AND_DISK)
+    options = dict(label=label, features=FEATURES, key_cols=key_cols, seed=seed)
 
-    def run(f: int) -> list[float]:
-        return round_losses(tree_estimator(task, params, label=label).fit(work.where(F.col("fold") != f)), work.where(F.col("fold") == f), task)
+    def further(fit: Boosting) -> None:
+        fit.step()
+        fit.measure()
 
     try:
-        per_fold = in_parallel(run, range(folds), parallelism)
+        fits = in_parallel(lambda f: Boosting(work.where(F.col("fold") != f), loss_for(task, n_classes), params, validation=work.where(F.col("fold") == f), **options),
+                           range(folds), parallelism)
+        mean: list[float] = []
+        while len(mean) < params.n_estimators and not no_better_for(mean, patience):
+            in_parallel(further, fits, parallelism)
+            mean.append(sum(fit.held_losses[-1] for fit in fits) / folds)
     finally:
         work.unpersist()
-    mean = [sum(x) / folds for x in zip(*per_fold)]
     table = prepared.sparkSession.createDataFrame([(i + 1, m) for i, m in enumerate(mean)], "round int, mean_loss double")
     return min(range(len(mean)), key=lambda i: mean[i]) + 1, table
 
 
+def fit_quantiles(train: DataFrame, params: TreeParams = TreeParams(), *, label: str = "y", quantiles: tuple[float, ...] = (0.05, 0.95), **options) -> list[BoostedModel]:
+    """One model per quantile, by pinball loss with leaves at the exact quantile of their residuals."""
+    return in_parallel(lambda q: fit_boosted(train, Loss("pinball", quantile=q), params, label=label, features=FEATURES, **options), quantiles, len(quantiles))
+
+
 # -- baselines -----------------------------------------------------------------------------------
 
 def evaluate_baselines(train: DataFrame, test: DataFrame, task: str, metric: str, *, label: str = "y", logged: bool = False,
@@ -417,14 +418,14 @@ def average_probabilities(arrays: list[Column]) -> Column:
     return F.transform(total, lambda x: x / len(arrays))
 
 
-def fit_ensemble(train: DataFrame, trials: DataFrame, task: str, top_k: int = 3, *, label: str = "y", parallelism: int = 3) -> list:
+def fit_ensemble(train: DataFrame, trials: DataFrame, task: str, top_k: int = 3, *, label: str = "y", parallelism: int = 3, n_classes: int = 2, **options) -> list:
     """Models of the best trials; fewer than two complete trials give an empty ensemble."""
     chosen = best_trials(trials, top_k)
     if len(chosen) < 2:
         return []
     cached = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return in_parallel(lambda row: tree_estimator(task, trial_params(row), label=label).fit(cached), chosen, parallelism)
+        return in_parallel(lambda row: fit_trees(cached, task, trial_params(row), label=label, n_classes=n_classes, **options), chosen, parallelism)
     finally:
         cached.unpersist()
 
@@ -438,7 +439,7 @@ def ensemble_scores(models: list, df: DataFrame, task: str) -> DataFrame:
     members = [F.col(f"_m{i}") for i in range(len(models))]
     if task == "classification":
         out = out.withColumn("probs", average_probabilities(members))
-        out = out.withColumns({"p": F.col("probs")[1], "pred": F.array_position("probs", F.array_max("probs")).cast("int") - 1})
+        out = out.withColumns({"p": F.when(F.size("probs") == 2, F.col("probs")[1]), "pred": F.array_position("probs", F.array_max("probs")).cast("int") - 1})
     else:
         out = out.withColumn("yhat", reduce(Column.__add__, members) / len(members))
     return out.drop(*[f"_m{i}" for i in range(len(models))])

@@ -1,4 +1,4 @@
-"""Split-conformal prediction sets and intervals, and leaf-wise quantile intervals."""
+"""Split-conformal prediction sets and intervals, and quantile intervals."""
 
 from __future__ import annotations
 
@@ -72,3 +72,10 @@ def leaf_intervals(train: DataFrame, test: DataFrame, leaf: str, y: str, yhat: s
     joined = test.join(F.broadcast(bounds), name(leaf) == F.col("_leaf"), "left")
     return joined.withColumns({"quantile_lower": name(yhat) + F.col("_lo"),
                                "quantile_upper": name(yhat) + F.col("_hi")}).drop("_leaf", "_lo", "_hi")
+
+
+def quantile_intervals(df: DataFrame, lower, upper) -> DataFrame:
+    """Adds quantile_lower and quantile_upper from two quantile models; where they cross, both ends change places."""
+    out = lower.transform(df).withColumnRenamed("yhat", "_lo")
+    out = upper.transform(out).withColumnRenamed("yhat", "_hi")
+    return out.withColumns({"quantile_lower": F.least("_lo", "_hi"), "quantile_upper": F.greatest("_lo", "_hi")}).drop("_lo", "_hi")

@@ -10,11 +10,12 @@ from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.regression import GBTRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 
+from veldtab.operators.boosting import BoostedModel
 from veldtab.operators.models import ClassModels, Preparation, SigmoidCalibration
 from veldtab.operators.prep import Imputer, TargetEncoder
 from veldtab.operators.scoring import ScoringSpec, check_input, envelope, predict, unseen_report
 
-KINDS = {c.__name__: c for c in (GBTClassificationModel, GBTRegressionModel)}
+KINDS = {c.__name__: c for c in (GBTClassificationModel, GBTRegressionModel, BoostedModel)}
 
 
 @dataclass(frozen=True)
@@ -46,7 +47,10 @@ def save_scorer(scorer: Scorer, path: str) -> str:
     prep, models = scorer.preparation, scorer.model.models if isinstance(scorer.model, ClassModels) else (scorer.model,)
     prep.pipeline.write().overwrite().save(f"{path}/pipeline")
     for i, model in enumerate(models):
-        model.write().overwrite().save(f"{path}/model_{i}")
+        if isinstance(model, BoostedModel):
+            model.save(f"{path}/model_{i}")
+        else:
+            model.write().overwrite().save(f"{path}/model_{i}")
     if prep.encoder:
         prep.encoder.table.write.mode("overwrite").parquet(f"{path}/encoding")
     if scorer.known is not None:
