@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from catalog.base import SQL_TRAIN, SQL_TRIALS, query, r, rounded, table, train_table, trials
@@ -113,12 +115,13 @@ def _(spark, sf):
 
 @query("e10_low_variance", f"""WITH {SQL_GAPS}, v AS (SELECT var_pop(l_quantity) AS l_quantity, var_pop(l_extendedprice) AS l_extendedprice,
   (SELECT var_pop(coalesce(l_discount, (SELECT quantile_cont(l_discount, 0.5) FROM gp))) FROM gp) AS l_discount, var_pop(p_retailprice) AS p_retailprice FROM gp)
-SELECT feature, round(variance, 4) AS variance FROM (UNPIVOT v ON COLUMNS(*) INTO NAME feature VALUE variance) WHERE variance > 1""")
+SELECT feature, CAST(floor(log10(variance)) AS INT) AS magnitude, round(variance / pow(10, floor(log10(variance))), 9) AS leading FROM (UNPIVOT v ON COLUMNS(*) INTO NAME feature VALUE variance) WHERE variance > 1""")
 def _(spark, sf):
     df = gaps(spark, sf)
     variances = E.column_variances(df, NUM)
     kept = [c for c in NUM if variances[c] > 1.0]
-    rows = F.array(*[F.struct(F.lit(c).alias("feature"), F.lit(round(variances[c], 4)).alias("variance")) for c in kept])
+    size = {c: math.floor(math.log10(variances[c])) for c in kept}
+    rows = F.array(*[F.struct(F.lit(c).alias("feature"), F.lit(size[c]).alias("magnitude"), F.lit(round(variances[c] / 10 ** size[c], 9)).alias("leading")) for c in kept])
     return df.agg(F.count("*").alias("n")).where("n > 0").select(F.explode(rows).alias("s")).select("s.*")
 
 

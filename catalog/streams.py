@@ -73,16 +73,25 @@ def _(spark, sf):
     return S.read_history(spark, f"{out}/history", W.MonitorConfig(persistence=2))
 
 
-@query("m4_window_drift", f"{_F14.replace(chr(39) + 'p' + chr(39) + ' AS feature, p AS v', chr(39) + 'value' + chr(39) + ' AS feature, value AS v')} SELECT day, feature, n AS n_ref, m AS n_new, round(d, 6) AS statistic, round({ks_sf('d', 'n', 'm')}, 6) AS pvalue FROM ks WHERE day < (SELECT max(day) FROM me)")
+@query("m4_window_drift", f"{_F14.replace(chr(39) + 'p' + chr(39) + ' AS feature, p AS v', chr(39) + 'value' + chr(39) + ' AS feature, value AS v')} SELECT day, feature, n AS n_ref, m AS n_new, round(d, 6) AS statistic, round({ks_sf('d', 'n', 'm')}, 6) AS pvalue FROM ks")
 def _(spark, sf):
-    """Counts per event-time day in append mode, then one test per finished day."""
+    """Counts per event-time day of rows that arrive up to five days out of order in many files; the last windows are closed, and every day is tested."""
     events = monitor_events(spark, sf)
     reference = D.value_counts(events.where("day <= 10"), ["value"])
-    new = events.where("day > 10").select("ts", "value")
-    path = _landed(new, spark, "window_in", 1)
-    stream = S.read_files(spark, path, new.schema, kind="parquet")
-    out = fresh_path(spark, "window_out")
-    S.run_once(S.window_counts(stream, "ts", ["value"], width="1 day", delay="0 seconds"), f"{out}/counts", f"{out}/cp")
+    new = events.where("day > 10").select("ts", "value", "day")
+    path, out = fresh_path(spark, "window_in"), fresh_path(spark, "window_out")
+    columns = new.drop("day")
+    for first in range(11, 32, 5):
+        new.where(F.col("day").between(first, first + 4)).drop("day").repartition(4).write.mode("append").parquet(path)
+    late = {"width": "1 day", "delay": "6 days"}
+
+    def go_on() -> None:
+        stream = S.read_files(spark, path, columns.schema, kind="parquet", files_per_batch=3)
+        S.run_once(S.window_counts(stream, "ts", ["value"], **late), f"{out}/counts", f"{out}/cp")
+
+    go_on()
+    S.close_windows(spark, path, columns.schema, "ts", new.agg(F.max("ts")).first()[0], **late)
+    go_on()
     tested = S.window_drift(reference, spark.read.parquet(f"{out}/counts"))
     return rounded(tested.select(F.dayofmonth("window_start").alias("day"), "feature", "n_ref", "n_new", "statistic", "pvalue"))
 
@@ -96,17 +105,16 @@ def _(spark, sf):
     """Counters of many monitored models kept as keyed state over two micro-batches."""
     checks = table(spark, sf, "supplier").select(F.col("s_nationkey").cast("string").alias("model_id"), F.col("s_suppkey").alias("check_id"),
                                                  (F.col("s_acctbal") > 2000).alias("drifting"))
-    path = fresh_path(spark, "state_in")
-    half = checks.agg(F.expr("percentile(check_id, 0.5)")).first()[0]
-    checks.where(F.col("check_id") <= half).coalesce(1).write.parquet(path)
-    checks.where(F.col("check_id") > half).coalesce(1).write.mode("append").parquet(path)
-    stream = S.read_files(spark, path, checks.schema, kind="parquet", files_per_batch=1)
-    out = fresh_path(spark, "state_out")
+    path, out = fresh_path(spark, "state_in"), fresh_path(spark, "state_out")
+    ends = checks.agg(F.min("check_id").alias("low"), F.max("check_id").alias("high")).first()
+    half = F.col("check_id") <= (ends["low"] + ends["high"]) // 2 if ends["low"] is not None else F.lit(True)
     provider = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(provider)
     spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     try:
-        S.run_once(S.persistence_stream(stream), f"{out}/rows", f"{out}/cp")
+        for arrived in (half, ~half):
+            checks.where(arrived).repartition(4).write.mode("append").parquet(path)
+            S.run_once(S.persistence_stream(S.read_files(spark, path, checks.schema, kind="parquet")), f"{out}/rows", f"{out}/cp")
     finally:
         spark.conf.set(provider, before)
     return spark.read.parquet(f"{out}/rows")

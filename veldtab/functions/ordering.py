@@ -12,6 +12,7 @@ statistics from three histogram passes that shuffle histograms instead of rows.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -247,3 +248,47 @@ def collect_quantiles(df: DataFrame, columns: list[str], probabilities: list[flo
         for row in column_quantiles(df, columns, probabilities).collect():
             out[row["feature"]][row["probability"]] = row["quantile"]
     return out
+
+
+# -- running state -------------------------------------------------------------------------------
+
+def order_bucket(df: DataFrame, order: str) -> Column:
+    """A bucket of the order column that sorts like it: leading bits of numbers and times, the first ten characters of texts."""
+    kind, c = df.schema[order].dataType.typeName(), name(order)
+    if kind in ("string", "varchar", "char"):
+        return F.coalesce(F.substring(c, 1, 10), F.lit(""))
+    if kind in ("date", "timestamp_ntz"):
+        c = c.cast("timestamp")
+    number = c.cast("double")
+    kept = F.when(F.isnan(number) | (F.abs(number) == float("inf")), number).otherwise(coarse_key(number))
+    return F.coalesce(kept, F.lit(float("-inf")))
+
+
+def segmented_scan(df: DataFrame, keys: list[str], order: str, *, reset: Column | None = None, add: Column | None = None, high: Column | None = None) -> DataFrame:
+    """Adds to every row, by ascending ``order`` inside each ``keys`` group: ``_position`` (from 1), ``_since`` (sum of ``add`` since the last
+    row that meets ``reset``, that row included) and ``_high`` (greatest ``high`` so far, nulls left out).
+
+    The state (rows, sum since a reset, maximum) adds up in any grouping, so each bucket of the order column is scanned by itself and gets the
+    state of the buckets before it; only one row per bucket is ordered across buckets. Nulls come first; equal values in any order.
+    """
+    key_cols = [f"_k{i}" for i in range(len(keys))]
+    rows = df.withColumns({k: name(c) for k, c in zip(key_cols, keys)} | {
+        "_bucket": order_bucket(df, order), "_reset": F.coalesce(reset, F.lit(False)).cast("int") if reset is not None else F.lit(0),
+        "_add": F.coalesce(add.cast("bigint"), F.lit(0)) if add is not None else F.lit(0).cast("bigint"), "_value": high if high is not None else F.lit(None).cast("double")})
+    inside = Window.partitionBy(*key_cols, "_bucket").orderBy(name(order)).rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumns({"_at": F.count(F.lit(1)).over(inside), "_part": F.sum("_reset").over(inside), "_top": F.max("_value").over(inside)})
+    since = Window.partitionBy(*key_cols, "_bucket", "_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("_run", F.sum("_add").over(since))
+    last = rows.groupBy(*key_cols, "_bucket").agg(F.max("_at").alias("n"), F.max("_part").alias("parts"), F.max_by("_run", "_at").alias("tail"), F.max("_top").alias("top"))
+    group = Window.partitionBy(*key_cols) if keys else Window.partitionBy(F.lit(0))  # one row per bucket
+    ordered = group.orderBy("_bucket")
+    before, upto = ordered.rowsBetween(Window.unboundedPreceding, -1), ordered.rowsBetween(Window.unboundedPreceding, 0)
+    last = last.withColumns({"_n": F.coalesce(F.sum("n").over(before), F.lit(0)), "_above": F.max("top").over(before),
+                             "_stretch": F.sum((F.col("parts") > 0).cast("int")).over(upto)})
+    stretch = Window.partitionBy(*key_cols, "_stretch").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
+    last = last.withColumn("_open", F.sum("tail").over(stretch)).withColumn("_carry", F.coalesce(F.lag("_open").over(ordered), F.lit(0)))
+    state = last.select(*[F.col(k).alias(f"{k}_") for k in key_cols], F.col("_bucket").alias("_bucket_"), "_n", "_above", "_carry")
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"{k}_")) for k in [*key_cols, "_bucket"]])
+    found = rows.join(state, same)
+    return found.select(*[name(c) for c in df.columns], (F.col("_n") + F.col("_at")).alias("_position"),
+                        (F.col("_run") + F.when(F.col("_part") == 0, F.col("_carry")).otherwise(0)).alias("_since"), F.greatest("_above", "_top").alias("_high"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from veldtab.functions.columns import name
+from veldtab.functions.ordering import segmented_scan
 from veldtab.operators.metrics import score_counts
 from veldtab.operators.prep import correlation_pairs
 
@@ -104,9 +105,9 @@ def pixel_counts(df: DataFrame, x: str, y: str, width: int = 800, height: int =
 
 
 def running_best(trials: DataFrame, trial: str = "trial", score: str = "score") -> DataFrame:
-    """Best score so far per trial; the table has one row per trial."""
-    w = Window.partitionBy(F.lit(0)).orderBy(name(trial)).rowsBetween(Window.unboundedPreceding, 0)
-    return trials.select(name(trial), name(score), F.max(name(score)).over(w).alias("best_so_far"))
+    """Best score so far per trial, by ascending trial."""
+    scanned = segmented_scan(trials.select(name(trial), name(score)), [], trial, high=name(score))
+    return scanned.select(name(trial), name(score), F.col("_high").alias("best_so_far"))
 
 
 def parameter_impact(trials: DataFrame, params: list[str], score: str = "score") -> DataFrame:

@@ -10,14 +10,16 @@ from __future__ import annotations
 import hashlib
 import math
 from collections import Counter
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veldtab.functions.columns import chunks, long_form, name, numeric_columns, one_row_agg, quoted
+from veldtab.functions.columns import long_form, name, numeric_columns, one_row_agg, quoted
 from veldtab.functions.ordering import collect_quantiles, prefix_sum
 from veldtab.operators.drift import category_counts, numeric_long
 from veldtab.sources.storage import write_through
@@ -293,24 +295,50 @@ def filter_low_variance(df: DataFrame, cols: list[str], threshold: float = 0.0)
     return [c for c in cols if variances[c] is not None and variances[c] > threshold]
 
 
+#: Variances below this share of the sum of squares are rounding.
+ROUNDING = 1e-12
+
+
 def correlation_pairs(df: DataFrame, cols: list[str]) -> DataFrame:
-    """(a, b, i, j, corr) of all column pairs i < j, pairwise complete; about 200 pairs per aggregate."""
-    pairs = list(combinations(enumerate(cols), 2))
-    parts = []
-    for part in chunks(pairs):
-        aggs, rows = [], []
-        for (i, a), (j, b) in part:
-            x, y = name(a).cast("double"), name(b).cast("double")
-            both = x.isNotNull() & y.isNotNull()
-            spread = (F.stddev_pop(F.when(both, x)) > 0) & (F.stddev_pop(F.when(both, y)) > 0)
-            aggs.append(F.when(spread, F.corr(x, y)).alias(f"r_{i}_{j}"))
-            rows.append(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(i).alias("i"), F.lit(j).alias("j"),
-                                 F.col(f"r_{i}_{j}").alias("corr")))
-        parts.append(df.agg(*aggs).select(F.explode(F.array(*rows)).alias("s")).select("s.*"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """(a, b, i, j, corr) of all column pairs i < j over the rows that have both; null where one of them does not vary there.
+
+    One scan after the column minima, whatever the number of columns: tasks add up counts, sums, squares and products of
+    masked blocks, a row of sums per column is added up by column, and that task turns it into correlations.
+    """
+    cols = list(cols)
+    x = [name(c).cast("double") for c in cols]
+    found = one_row_agg(df.select(*[v.alias(c) for v, c in zip(x, cols)]), [F.min(F.when(~F.isnan(name(c)), name(c))).alias(c) for c in cols])
+    least = np.array([found[c] if found[c] is not None else 0.0 for c in cols])
+    width = len(cols)
+    schema = "i int, sums array<double>"
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((width, 6, width))
+        for batch in batches:
+            values = np.column_stack([np.asarray(c.to_numpy(zero_copy_only=False), float) for c in batch.columns]) - least
+            values, there = np.nan_to_num(values, nan=0.0, posinf=np.inf, neginf=-np.inf), (~np.isnan(values)).astype(float)
+            square = values * values
+            for at, (left, right) in enumerate(((there, there), (values, there), (there, values), (square, there), (there, square), (values, values))):
+                total[:, at] += left.T @ right
+        yield pa.RecordBatch.from_arrays([pa.array(range(width), pa.int32()), pa.array(list(total.reshape(width, -1)), pa.list_(pa.float64()))], ["i", "sums"])
+
+    def correlations(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for i, row in zip(batch.column(0).to_pylist(), batch.column(1)):
+                total[i] = total.get(i, 0.0) + row.values.to_numpy()
+        for i, row in total.items():
+            n, sx, sy, sxx, syy, sxy = row.reshape(6, width)[:, i + 1:]
+            with np.errstate(divide="ignore", invalid="ignore"):
+                vx, vy = sxx - sx * sx / n, syy - sy * sy / n
+                corr = np.where((vx > ROUNDING * sxx) & (vy > ROUNDING * syy), (sxy - sx * sy / n) / np.sqrt(vx * vy), np.nan)
+            there = [None if np.isnan(c) else float(np.clip(c, -1, 1)) for c in corr]
+            yield pa.RecordBatch.from_arrays([pa.array([i] * len(there), pa.int32()), pa.array(range(i + 1, width), pa.int32()), pa.array(there, pa.float64())], ["i", "j", "corr"])
+
+    sums = df.select(*[v.alias(c) for v, c in zip(x, cols)]).mapInArrow(blocks, schema)
+    pairs = sums.repartition("i").mapInArrow(correlations, "i int, j int, corr double")
+    names = F.array(*[F.lit(c) for c in cols])
+    return pairs.select(F.get(names, F.col("i")).alias("a"), F.get(names, F.col("j")).alias("b"), "i", "j", "corr")
 
 
 MIN_PAIR_CORRELATION = 0.05

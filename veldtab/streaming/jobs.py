@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,12 +28,14 @@ def read_files(spark: SparkSession, path: str, schema: T.StructType | str, *, ki
     return nan_to_null(reader.format({"jsonl": "json"}.get(kind, kind)).load(path))
 
 
-def run_once(df: DataFrame, path: str, checkpoint: str, *, partition: str | None = None) -> None:
-    """Append everything that is there to Parquet, exactly once, and stop."""
+def run_once(df: DataFrame, path: str, checkpoint: str, *, partition: str | None = None) -> int:
+    """Append everything that is there to Parquet, exactly once, and stop; the number of rows that came too late for their window."""
     writer = df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append")
     if partition:
         writer = writer.partitionBy(partition)
-    writer.trigger(availableNow=True).start().awaitTermination()
+    query = writer.trigger(availableNow=True).start()
+    query.awaitTermination()
+    return sum(op.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress for op in p["stateOperators"])
 
 
 def score_stream(stream: DataFrame, score: Callable[[DataFrame], DataFrame], spec: ScoringSpec, keep: list[str] = ()) -> DataFrame:
@@ -44,8 +47,8 @@ def score_stream(stream: DataFrame, score: Callable[[DataFrame], DataFrame], spe
 # -- drift per micro-batch -----------------------------------------------------------------------
 
 def monitor_stream(stream: DataFrame, profile: ReferenceProfile, history_path: str, checkpoint: str, roles: BatchColumns = BatchColumns(),
-                   config: MonitorConfig = MonitorConfig()) -> StreamingQuery:
-    """One drift check per micro-batch.
+                   config: MonitorConfig = MonitorConfig(), trigger: dict | None = None) -> StreamingQuery:
+    """One drift check per micro-batch; ``trigger`` as Structured Streaming names it ({"processingTime": "1 minute"}), by default all that is there.
 
     A check is written under its batch id, so a repeated batch overwrites its own row. The counter of
     consecutive drift is derived from the history when it is read, so it needs no state of its own.
@@ -60,7 +63,7 @@ def monitor_stream(stream: DataFrame, profile: ReferenceProfile, history_path: s
             keyed.unpersist()
 
     return (stream.writeStream.foreachBatch(check).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
+            .trigger(**(trigger or {"availableNow": True})).start())
 
 
 def read_history(spark: SparkSession, history_path: str, config: MonitorConfig = MonitorConfig()) -> DataFrame:
@@ -88,6 +91,16 @@ def window_counts(stream: DataFrame, time_col: str, cols: list[str], *, width: s
     return counted.select(start.alias("window_start"), "feature", "value", "n")
 
 
+def close_windows(spark: SparkSession, path: str, schema: T.StructType, time_col: str, newest, *, width: str = "1 day", delay: str = "1 day") -> None:
+    """Append a file with one row without values to the stream's Parquet folder, so late that the watermark passes the end of every open window.
+
+    For the end of a stream: after the next run every window has been emitted, and whatever still arrives is late.
+    """
+    later = F.lit(newest) + F.expr(f"interval {width}") * 2 + F.expr(f"interval {delay}")
+    row = [later.cast(f.dataType).alias(f.name) if f.name == time_col else F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+    spark.range(1).select(*row).write.mode("append").parquet(path)
+
+
 def window_drift(reference: DataFrame, counts: DataFrame) -> DataFrame:
     """Test every finished window's counts against the reference (feature, value, n)."""
     return ks_counts(reference, counts, ["window_start"])
@@ -111,13 +124,14 @@ def persistence_stream(checks: DataFrame, persistence: int = 3) -> DataFrame:
             state = self.count.get() if self.count.exists() else (0,)
             n = int(state[0])
             frame = pd.concat(list(rows)).sort_values("check_id")
-            counts = []
-            for drifting in frame["drifting"]:
-                n = n + 1 if drifting else 0
-                counts.append(n)
+            drifting = frame["drifting"].to_numpy(bool)
+            at = np.arange(len(drifting))
+            calm = np.maximum.accumulate(np.where(drifting, -1, at))
+            counts = np.where(calm < 0, n + at + 1, at - calm)
+            n = int(counts[-1])
             self.count.update((n,))
             yield pd.DataFrame({"model_id": key[0], "check_id": frame["check_id"].to_numpy(), "drifting": frame["drifting"].to_numpy(),
-                                "consecutive_drift_checks": counts, "alert": [c >= persistence for c in counts]})
+                                "consecutive_drift_checks": counts, "alert": counts >= persistence})
 
         def close(self) -> None:
             pass
