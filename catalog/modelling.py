@@ -6,6 +6,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from catalog.base import query, rounded, table
+from veldtab.operators import components as P
 from veldtab.operators import diagnostics as G
 from veldtab.operators import metrics as M
 from veldtab.operators import models as I
@@ -125,6 +126,19 @@ def _(spark, sf):
     return flat.agg(F.count("*").alias("n"), total.alias("total_variance"), odd.cast("bigint").alias("n_correlated"))
 
 
+@query("e6_top_components", f"SELECT count(*) AS n, 8 AS n_components, true AS leads, true AS uncorrelated, round({_TRACE}, 6) AS total_variance FROM embeddings")
+def _(spark, sf):
+    """The first eight components by block power iteration: uncorrelated, in falling order, with the variance that their coordinates have; all of them hold all variance."""
+    emb = table(spark, sf, "embeddings").select("embedding")
+    top, whole = P.fit_top_components(emb, "embedding", 8), P.fit_top_components(emb, "embedding", 64)
+    flat = top.project(emb, "embedding").select(*[F.col("components")[i].alias(f"c{i}") for i in range(8)])
+    same = sum(((F.abs(F.var_samp(f"c{i}") / float(v) - 1) < 1e-9).cast("int") for i, v in enumerate(top.variances)), F.lit(0)) == 8
+    crossed = sum(((F.abs(F.corr(f"c{i}", f"c{i + 1}")) < 1e-6).cast("int") for i in range(7)), F.lit(0)) == 7
+    falling = all(a >= b for a, b in zip(top.variances, top.variances[1:])) and bool(abs(top.variances / whole.variances[:8] - 1).max() < 1e-9)
+    return flat.agg(F.count("*").alias("n"), F.lit(len(top.variances)).alias("n_components"), (same & F.lit(falling)).alias("leads"), crossed.alias("uncorrelated"),
+                    F.lit(round(float(whole.variances.sum()), 6)).alias("total_variance"))
+
+
 @query("e9_feature_vector")
 def _(spark, sf):
     """Assembled features with a PCA block, power transform and robust scaling."""
@@ -392,6 +406,19 @@ def _(spark, sf):
     return rounded(G.partial_dependence(G.individual_curves(part(df, "test"), _scorer(prep, model), NUM, KEY, points=20)))
 
 
+@query("l12_tree_dependence", """SELECT l_linenumber::DOUBLE AS grid, (SELECT count(*) FROM lineitem) AS n_rows, true AS equal FROM lineitem GROUP BY l_linenumber""")
+def _(spark, sf):
+    """Dependence on a feature from leaf counts of one pass, against the mean score of all rows with the feature set."""
+    rows = table(spark, sf, "lineitem").select(*[F.col(c).cast("double") for c in ("l_linenumber", "l_quantity", "l_discount")], F.col("l_extendedprice").cast("double").alias("price"), "l_orderkey")
+    vectors = F.array("l_linenumber", "l_quantity", "l_discount")
+    model = I.fit_trees(rows.withColumn("features", vectors), "regression", I.TreeParams(4, 3, 0.5, 1.0, 1.0, 1), label="price", key_cols=["l_orderkey", "l_linenumber"])
+    values = [r[0] for r in rows.select("l_linenumber").distinct().collect()]
+    found = G.tree_dependence(model, rows.withColumn("features", vectors), {0: values})
+    cells = rows.withColumn("l_linenumber", F.explode(F.array(*map(F.lit, values)))).withColumn("features", vectors)
+    plain = I.scored(model, cells, "regression").groupBy(F.col("l_linenumber").alias("grid")).agg(F.avg("yhat").alias("mean"))
+    return found.join(plain, "grid").select("grid", "n_rows", (F.abs(F.col("mean_value") - F.col("mean")) < 1e-6).alias("equal"))
+
+
 @query("l13_contributions")
 def _(spark, sf):
     df, prep, model = _numeric_model(spark, sf)

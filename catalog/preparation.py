@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from catalog.base import SQL_TRAIN, SQL_TRIALS, query, r, rounded, table, train_table, trials
 from veldtab.operators import curves as L
 from veldtab.operators import prep as E
+from veldtab.operators.profiling import choose_metric
 
 KEY = ["l_orderkey", "l_linenumber"]
 # Train table with gaps: discount is null on every seventh order, type on every fifth.
@@ -186,6 +187,14 @@ def _(spark, sf):
     return rounded(df.groupBy("y").agg(F.count("*").alias("n"), F.max("weight").alias("weight")))
 
 
+@query("i3_positive_weight", f"WITH {SQL_TRAIN}, c AS (SELECT count(*) FILTER (y = 1) AS p, count(*) FILTER (y = 0) AS q FROM tt) SELECT y, count(*) AS n, round(CASE WHEN y = 1 THEN max(greatest(p, q) / least(p, q)::DOUBLE) ELSE 1 END, 6) AS weight FROM tt, c GROUP BY y")
+def _(spark, sf):
+    """The weight of the rarer class that the metric choice gives, on its rows."""
+    df = train_table(spark, sf).select("y")
+    df = E.class_weights(df, "y", choose_metric(df, "y", imbalance_threshold=0.45).first()["class_weight"])
+    return rounded(df.groupBy("y").agg(F.count("*").alias("n"), F.max("weight").alias("weight")))
+
+
 @query("i12_parameter_impact", f"""WITH {SQL_TRIALS}, c AS (SELECT 'max_depth' AS parameter, corr(max_depth, score) AS c FROM tr UNION ALL SELECT 'learning_rate', corr(learning_rate, score) FROM tr UNION ALL SELECT 'subsample', corr(subsample, score) FROM tr)
 SELECT parameter, round(c, 6) AS corr, CAST(row_number() OVER (ORDER BY abs(c) DESC, parameter) AS INT) AS rank FROM c""")
 def _(spark, sf):

@@ -162,11 +162,11 @@ def _(spark, sf):
     return rounded(C.clean(dirty_events(spark, sf)).drop("user_id", "event_type", "value"))
 
 
-@query("b7_b8_b9_pretransform", "SELECT l_orderkey, l_linenumber, round(ln(1 + l_extendedprice), 6) AS l_extendedprice, round(CAST(l_discount AS FLOAT)::DOUBLE, 6) AS l_discount FROM lineitem")
+@query("b7_b8_b9_pretransform", "SELECT l_orderkey, l_linenumber, round(CAST(ln(1 + l_extendedprice) AS FLOAT)::DOUBLE, 6) AS l_extendedprice, round(CAST(l_discount AS FLOAT)::DOUBLE, 6) AS l_discount FROM lineitem")
 def _(spark, sf):
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_discount", "l_tax")
     out = C.pretransform(li, log1p=["l_extendedprice", "not_there"], drop=["l_tax", "not_there"])
-    return rounded(out.withColumn("l_discount", F.col("l_discount").cast("float")))
+    return rounded(C.downcast_doubles(out))
 
 
 @query("b10_log_target", """

@@ -5,10 +5,12 @@ from __future__ import annotations
 
 import json
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
@@ -17,8 +19,9 @@ from pyspark.sql import functions as F
 from veldtab.functions.columns import name
 from veldtab.functions.hashing import hash_order
 from veldtab.functions.ordering import collect_quantiles, exact_quantiles, prefix_sum
-from veldtab.operators.prep import fit_median_imputer
+from veldtab.operators.boosting import BoostedModel, as_array
 from veldtab.operators.models import TreeParams, components_kept, score_model, tree_estimator
+from veldtab.operators.prep import fit_median_imputer
 from veldtab.sources.storage import write_through
 from veldtab.operators.splits import CURVE_SHARES, nested_samples, stratified_sample
 
@@ -207,6 +210,60 @@ def partial_dependence(curves: DataFrame) -> DataFrame:
     return curves.groupBy("feature", "grid").agg(F.avg("value").alias("mean_value"), F.count("*").alias("n_rows"))
 
 
+def tree_dependence(model: BoostedModel, rows: DataFrame, grid: dict[int, list[float]], output: int = 0) -> DataFrame:
+    """(feature, grid, mean_value, n_rows): the mean margin of one output over all rows with one feature set to a value, from one aggregate.
+
+    A row with a feature set ends in the leaves whose path it fits but for the conditions on that feature. One pass counts for every leaf, and for every
+    feature on its path, the rows that fit the rest; each point of the grid is then a sum over leaves.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+    trees = [own[output] for own in model.rounds]
+
+    def paths(tree) -> list[tuple[int, list[tuple[int, bool]]]]:
+        out = []
+        for end in tree.leaves():
+            steps, node = [], end
+            while node:
+                steps.append(((node - 1) // 2, node % 2 == 0))
+                node = (node - 1) // 2
+            out.append((end, steps))
+        return out
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[tuple, int] = {}
+        own = [t[output] for t in shared.value.rounds]
+        routes = [paths(t) for t in own]
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = np.stack([np.asarray(v, float) for v in batch.column(0).to_pylist()])
+            for number, (tree, leaves) in enumerate(zip(own, routes)):
+                right = {node: x[:, tree.feature[node]] > tree.threshold[node] for _, steps in leaves for node, _ in steps}
+                for end, steps in leaves:
+                    for without in {-1, *(tree.feature[node] for node, _ in steps)}:
+                        fits = np.ones(len(x), bool)
+                        for node, goes_right in steps:
+                            if tree.feature[node] != without:
+                                fits &= right[node] == goes_right
+                        total[number, end, without] = total.get((number, end, without), 0) + int(fits.sum())
+        yield pa.RecordBatch.from_arrays([pa.array([k[i] for k in total], pa.int32()) for i in range(3)] + [pa.array(list(total.values()), pa.int64())], ["tree", "leaf", "without", "n"])
+
+    counted = rows.select(as_array(rows, model.features).alias("x")).mapInArrow(count, "tree int, leaf int, without int, n long")
+    fits = {(r["tree"], r["leaf"], r["without"]): r["n"] for r in counted.groupBy("tree", "leaf", "without").agg(F.sum("n").alias("n")).collect()}
+    n_rows = sum(n for (tree, _, without), n in fits.items() if not tree and without < 0)
+    points = []
+    for feature, values in grid.items():
+        for v in values:
+            mean = model.base[output]
+            for number, tree in enumerate(trees):
+                for end, steps in paths(tree):
+                    own = [(node, goes_right) for node, goes_right in steps if tree.feature[node] == feature]
+                    if all((v > tree.threshold[node]) == goes_right for node, goes_right in own):
+                        mean += model.rate * tree.value[end] * fits.get((number, end, feature if own else -1), 0) / max(1, n_rows)
+            points.append((feature, float(v), float(mean), n_rows))
+    return rows.sparkSession.createDataFrame(points, "feature int, grid double, mean_value double, n_rows long")
+
+
 def _with_background(df: DataFrame, features: list[str], key_cols: list[str], rows: int | None, background: int, draws: int, seed: int) -> DataFrame:
     """Rows x draws, each next to one background row picked by hash (an equi-join on its number)."""
     base = _sample(df, key_cols, rows, seed).select("_row", F.struct(*[name(f).alias(f) for f in features]).alias("_x"))
