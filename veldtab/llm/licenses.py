@@ -4,8 +4,8 @@ Looked at are single lines and, for notices that are wrapped, stretches of lines
 letters and digits): where ``CONFIRM`` of a template's word pairs stand in the joined paragraph, the whole of it and every stretch of up to
 ``SPAN`` lines is taken like a line. Their words and word pairs are hashed to a sparse vector of unit length, and an elastic-net multinomial
 logistic regression gives a family or ``unknown``. It is fitted on the templates (whole, and with each word left out in turn) and, as the unknown
-class, on the paragraphs of a bounded sample of documents (``FIT_DOCS`` expected, chosen by a hash) that share few word pairs with any
-template. A fifth of those rows is held back to fit the temperature that calibrates the probabilities. A paragraph counts as
+class, on notices of other families and on the paragraphs of a bounded sample of documents (``FIT_DOCS`` expected, chosen by a hash) that share
+few word pairs with any template. A text that holds ``CONFIRM`` of a template's pairs has one of the words ``TELLING``, so lines and paragraphs without any are not looked at. A fifth of those rows is held back to fit the temperature that calibrates the probabilities. A paragraph counts as
 a licence where the family is the likeliest class, its calibrated probability is at least ``LEAST``, and ``CONFIRM`` of the word
 pairs of one of the family's templates stand in it; of the stretches of a paragraph
 the one with the greatest share counts for a family, unless it overlaps that of another family with a greater share.
@@ -35,11 +35,17 @@ from veldtab.sources.storage import write_through
 UNKNOWN = "unknown"
 #: Opening sentences of public licences and usual notices.
 TEMPLATES = {
+    "agpl": [
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "Licensed under the GNU Affero General Public License, version 3.",
+        "SPDX-License-Identifier: AGPL-3.0-or-later"],
     "apache": [
+        "SPDX-License-Identifier: Apache-2.0",
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.",
         "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."],
     "bsd": [
+        "SPDX-License-Identifier: BSD-3-Clause",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met.",
         "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."],
     "cc": [
@@ -47,19 +53,56 @@ TEMPLATES = {
         "Licensed under CC BY 4.0.",
         "Licensed under CC BY-SA 4.0.",
         "This work is licensed under a Creative Commons Attribution 4.0 International License."],
+    "epl": [
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License v. 2.0.",
+        "Licensed under the Eclipse Public License, version 2.0.",
+        "SPDX-License-Identifier: EPL-2.0"],
     "gpl": [
+        "SPDX-License-Identifier: GPL-3.0-or-later",
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."],
+    "isc": [
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+        "Licensed under the ISC License.",
+        "SPDX-License-Identifier: ISC"],
     "lgpl": [
+        "SPDX-License-Identifier: LGPL-2.1-or-later",
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation.",
         "Licensed under the GNU Lesser General Public License, version 2.1."],
     "mit": [
+        "SPDX-License-Identifier: MIT",
         "Released under the MIT License.",
         "Licensed under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction."],
     "mpl": [
-        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        "SPDX-License-Identifier: MPL-2.0"],
+    "unlicense": [
+        "This is free and unencumbered software released into the public domain.",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+        "SPDX-License-Identifier: Unlicense"],
 }
+#: Notices of families that are not told apart, learned as unknown.
+OTHERS = [
+    "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.",
+    "Licensed under the Boost Software License, Version 1.0.",
+    "Licensed under the Artistic License 2.0.",
+    "Licensed under the EUPL, Version 1.2 or later.",
+    "Licensed under the Open Software License version 3.0.",
+    "Released under the zlib License.",
+    "Licensed under the Common Development and Distribution License, version 1.0.",
+    "SPDX-License-Identifier: Zlib",
+    "SPDX-License-Identifier: BSL-1.0",
+    "SPDX-License-Identifier: Artistic-2.0",
+    "SPDX-License-Identifier: EUPL-1.2",
+    "SPDX-License-Identifier: OFL-1.1",
+    "SPDX-License-Identifier: CDDL-1.0",
+    "SPDX-License-Identifier: LicenseRef-Proprietary",
+    "All rights reserved. This software is proprietary and may not be copied, modified or distributed without written permission.",
+]
+#: Words too common in any text to look for.
+COMMON = set("a and any are as at be by can code copy file for found form free from in into is it may means of on option or other out permitted "
+             "program public source terms that the this to under use version with without work you your".split())
 FAMILIES = sorted(TEMPLATES)
 FEATURES = 1 << 14
 FIT_DOCS = 3_000
@@ -79,14 +122,14 @@ def _pairs(words: list[str]) -> list[str]:
 
 
 def _telling() -> list[str]:
-    """Words of which every text with ``CONFIRM`` of a template's word pairs has at least one, long words first."""
+    """Words of which every text with ``CONFIRM`` of a template's word pairs has at least one, common words last."""
     needed = []
     for template in sorted({t for family in TEMPLATES.values() for t in family}):
         words = _words(template)
         left = _pairs(words)
         spare = len(left) - math.ceil(CONFIRM * len(left) - 1e-9)
         # as long as enough pairs for the share have none of the words, another word is needed
-        choice = sorted(set(words), key=lambda w: (w not in needed, -len(w), w))
+        choice = sorted(set(words), key=lambda w: (w in COMMON or w.isdigit(), w not in needed, -len(w), w))
         while len(left) >= len(_pairs(words)) - spare:
             word = choice.pop(0)
             rest = [p for p in left if word not in p.split()]
@@ -114,13 +157,11 @@ def with_vectors(df: DataFrame) -> DataFrame:
 
 def covered(family: Column | None = None) -> Column:
     """The largest share of a template's word pairs that ``pairs`` holds, over the templates of the family (of all without one)."""
-    best = F.lit(0.0)
-    for name in FAMILIES:
-        for template in TEMPLATES[name]:
-            known = _pairs(_words(template))
-            share = F.size(F.array_intersect("pairs", F.array(*map(F.lit, known)))) / F.lit(float(len(known)))
-            best = F.greatest(best, share if family is None else F.when(family == name, share).otherwise(0.0))
-    return best
+    listed = [(name, ", ".join(f"'{p}'" for p in _pairs(_words(t)))) for name in FAMILIES for t in TEMPLATES[name]]
+    known = F.expr("array(" + ", ".join(f"named_struct('family', '{name}', 'pairs', array({pairs}))" for name, pairs in listed) + ")")
+    own = known if family is None else F.filter(known, lambda t: t["family"] == family)
+    share = F.transform(own, lambda t: F.size(F.array_intersect("pairs", t["pairs"])) / F.size(t["pairs"]))
+    return F.coalesce(F.array_max(share), F.lit(0.0))
 
 
 class LicenceModel:
@@ -147,6 +188,7 @@ def fit_licences(docs: DataFrame, text_col: str = "text", fit_docs: int = FIT_DO
             words = template.split()
             variants = [template] * 5 + [" ".join(words[:i] + words[i + 1:]) for i in range(len(words))]
             rows += [(float(label), v) for v in variants]
+    rows += [(float(len(FAMILIES)), text) for text in OTHERS for _ in range(5)]
     known = spark.createDataFrame(rows, "label double, paragraph string")
     share = min(1.0, fit_docs / max(1, docs.count()))
     some = docs.where(F.pmod(F.xxhash64(F.col(text_col)), F.lit(1_000_000)) < int(share * 1_000_000))
@@ -208,7 +250,9 @@ def _begins(stretches: DataFrame) -> DataFrame:
 
 def licence_paragraphs(docs: DataFrame, model: LicenceModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, key, place, family, probability) of the lines that are licences or at which a wrapped one begins."""
-    single = _licences(paragraphs(docs, id_col, text_col), model).drop("pairs")
+    # read twice below, so written: every line is hashed and scored once
+    told = paragraphs(docs.where(F.lower(F.col(text_col)).rlike(TELLING)), id_col, text_col).where(F.lower("paragraph").rlike(TELLING))
+    single = write_through(_licences(told, model).drop("pairs"), "licence-lines")
     extra = _begins(_licences(wrapped(docs, id_col, text_col), model))
     # a family that a line of the text holds by itself is known
     known = single.select("id", "key", "family").distinct()
