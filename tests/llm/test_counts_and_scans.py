@@ -1,6 +1,9 @@
 """Token counts, secrets and licences."""
 
+import math
+import random
 import re
+import string
 
 import pytest
 
@@ -47,6 +50,66 @@ def test_secret_spans(spark, odd, none):
     assert secrets.find_secrets(none).count() == 0
 
 
+def brute_random(text, ratios):
+    """The stretches of token characters outside the patterns' spans that look random, part by part."""
+    text, size = text or "", len(secrets.ALPHABET)
+    for start, _, end in brute_spans(text):
+        text = text[:start] + " " * (end - start) + text[end:]
+    weight = lambda a, b: ratios[secrets.ALPHABET.index(a) * size + secrets.ALPHABET.index(b)] if a.isalnum() and b.isalnum() else 0.0
+    out = []
+    for run in re.finditer("[A-Za-z0-9+/_=-]{16,}", text):
+        least, total, top, first, last, n_out = 11 + math.log(max(len(run[0]), 16) / 16), 0.0, 0.0, None, None, len(out)
+        for part in [*re.finditer("[^/_=-]+", run[0]), None]:
+            score = sum(weight(a, b) for a, b in zip(part[0], part[0][1:])) if part else -1e9
+            if total + score <= 0 or total + score < top - 3:
+                if first is not None and top >= least and last - first >= 12:
+                    out.append((run.start() + first, 3, run.start() + last))
+                total = top = max(score, 0.0)
+                first, last = (part.start(), part.end()) if part and score > 0 else (None, None)
+                continue
+            total += score
+            first = part.start() if first is None else first
+            if total > top:
+                top, last = total, part.end()
+    return out
+
+
+def compound(pick, words, alphabet, n_words, n):
+    sep = pick.choice("-_/")
+    before = sep.join(pick.choice(words) for _ in range(n_words)) + sep if n_words else ""
+    return before + "".join(pick.choice(alphabet) for _ in range(n)), len(before)
+
+
+def test_random_stretches(spark):
+    """Spans equal brute force; random strings are found beside words and patterns, runs of words are left alone."""
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    ratios = secrets.fit_ratio(docs)
+    pick, base62 = random.Random(3), string.ascii_letters + string.digits
+    words = sorted({w for r in docs.select("text").collect() for w in re.findall("[a-z]{4,}", r.text or "")})
+    named = ["backup", "session", "deploy", "request", "handler", "config", "server", "client", "update", "account", "order", "report", "index", "cache", "queue", "worker", "service", "manager"]
+    rows, at = [], {}
+    for n_words in (0, 2, 6, 10):
+        for _ in range(200):
+            text, start = compound(pick, words, base62, n_words, 20)
+            at[len(rows)] = (n_words, start)
+            rows.append(text)
+    touching = range(len(rows), len(rows) + 100)
+    rows += [compound(pick, words, base62, 0, 24)[0] + "-0123456789abcdef" for _ in touching]
+    plain = range(len(rows), len(rows) + 600)
+    rows += [f(pick.choice("-_/").join(pick.choice(source) for _ in range(pick.randint(3, 8)))) for source in (words, named) for f in (str, str.upper, str.title) for _ in range(100)]
+    rows += ["", "-" * 40, "a" * 11, "=" * 5 + "x7Kq9ZpL2mWv4TbR" + "/" * 30 + "B8nD3sHq6YfC1jXw", "é" * 20 + "x7Kq9ZpL2mWv4TbR😀", "secret=abcdefghijkl x7Kq9ZpL2mWv4TbR/deadbeefdeadbeef/B8nD3sHq6YfC1jXw"] + ["x7Kq9ZpL2mWv4TbR" * 5_000]
+    frame = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(4)
+    spans = {r.doc_id: [(s.start, s.kind, s.end) for s in r.spans] for r in secrets.with_spans(secrets.base_spans(frame), ratios).collect()}
+    for i, text in enumerate(rows):
+        assert [s for s in spans[i] if s[1] == 3] == brute_random(text, [round(r, 6) for r in ratios]), text[:80]
+    met = lambda i, start, end: sum(max(0, min(e, end) - max(s, start)) for s, k, e in spans[i] if k == 3) >= 0.8 * (end - start)
+    for n_words in (0, 2, 6, 10):
+        own = [met(i, start, start + 20) for i, (n, start) in at.items() if n == n_words]
+        assert sum(own) >= 0.95 * len(own), (n_words, sum(own))
+    assert sum(met(i, 0, 24) for i in touching) >= 95
+    assert sum(any(k == 3 for _, k, _ in spans[i]) for i in plain) <= 0.02 * len(plain)
+
+
 def test_redaction(spark, odd, none):
     docs = spark.createDataFrame([(i, t, len(t)) for i, t in enumerate(TEXTS)], "doc_id long, text string, n_chars long")
     rows = {r.doc_id: r for r in secrets.redact_secrets(docs.unionByName(odd.select("doc_id", "text", "n_chars").where("doc_id IS NULL"))).collect()}

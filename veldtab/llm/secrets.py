@@ -1,16 +1,18 @@
 """Secret scan: three fixed patterns, and strings that look random to character Markov models.
 
 Patterns give labelled samples: their values are random strings, identifiers outside them are ordinary ones. From both, two
-models of character pairs are counted on a bounded sample of rows (``fit_rows`` expected, chosen by a hash of the text). Every other run
-of ``LEAST`` or more token characters is scored by the log-likelihood ratio of the models; a run above ``threshold``
-nats per pair is a span of kind ``markov``. The random model is mixed half and half with even odds, so that alphabets without a
+models of character pairs are counted on a bounded sample of texts (``fit_rows`` expected, chosen by a hash; equal texts count once).
+Ordinary words count in capitals as well. Outside the patterns' spans, every run of ``LEAST`` or more token characters is cut at its
+separators, and each part gets the log-likelihood ratio of the models, no pair of characters counting more than ``CLIP`` nats. Neighbouring
+parts are joined as long as their sum stays above zero and within ``DROP`` of its highest value; the stretch up to that value is a
+span of kind ``markov`` where the value reaches ``threshold`` nats, and more in long runs, which offer more places to look at, and the stretch has ``LEAST_STRETCH`` characters. So words
+beside a random string do not thin it out. The random model is mixed half and half with even odds, so that alphabets without a
 sample are found as well.
 
 All of it is DataFrame expressions: positions come from the lengths of the pieces between matches, the models are one
 array literal with an entry for each pair of the fixed alphabet.
 
-Null texts are empty: no spans. Overlapping spans of different kinds are all reported, ``markov`` ones only where they touch no
-pattern's span. Repeated rows are scanned one by one; empty tables give empty results, and with nothing to
+Null texts are empty: no spans. Overlapping spans of the patterns are all reported; ``markov`` ones overlap no other. Repeated rows are scanned one by one; empty tables give empty results, and with nothing to
 fit on no run is called random. Extra columns are dropped by ``find_secrets`` and kept by ``redact_secrets``, which
 replaces spans and leaves null texts null.
 """
@@ -31,20 +33,22 @@ HEX = r"[0-9a-f]+"
 LEAST_ASSIGN, LEAST_ACCESS, LEAST_HEX = 12, 18, 16
 #: The same matches where failing ones need not be consumed.
 ACCESS_LONG, HEX_LONG = r"AKIA[A-Z0-9]{14,}", r"[0-9a-f]{16,}"
-RUN = r"[A-Za-z0-9+/_=-]{16,}"
+LEAST, LEAST_STRETCH = 16, 12
+RUN = rf"[A-Za-z0-9+/_=-]{{{LEAST},}}"
+SEPARATORS = "/_=-"
 IDENTIFIER = r"[A-Za-z_][A-Za-z0-9_]{3,}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
 FIT_ROWS = 8_000
-THRESHOLD = 0.75
+THRESHOLD, CLIP, DROP = 11.0, 3.0, 3.0
 KINDS = ("assign", "access", "hex", "markov")
 PLACEHOLDER = "<redacted>"
 _SPANS = "array<struct<start:int,kind:int,end:int>>"
 _EMPTY = "array<string>"
 
 
-def _matches(name: str, pattern: str, group: int | None = None) -> dict[str, Column]:
+def _matches(name: str, pattern: str, group: int | None = None, text_col: str = "text") -> dict[str, Column]:
     """Columns with the pieces between matches, the matches and (on request) a group of theirs; empty arrays where nothing matches."""
-    text = F.col("text")
+    text = F.col(text_col)
     hit, none = text.rlike(pattern), F.array().cast(_EMPTY)
     out = {f"{name}_found": F.when(hit, F.regexp_extract_all(text, F.lit(pattern), 0)).otherwise(none),
            f"{name}_between": F.when(hit, F.split(text, pattern, -1)).otherwise(none)}
@@ -83,6 +87,16 @@ def _pair_counts(tokens: DataFrame) -> dict[tuple[str, str], int]:
     return {(r["pair"][0], r["pair"][1]): r["n"] for r in pairs.groupBy("pair").agg(F.sum("n").alias("n")).collect()}
 
 
+def _with_capitals(counts: dict[tuple[str, str], int]) -> dict[tuple[str, str], int]:
+    """The counts of words, also as they would be in capitals and with a first capital."""
+    out = dict(counts)
+    for (a, b), n in counts.items():
+        if a.islower() and b.islower():
+            for pair in ((a.upper(), b.upper()), (a.upper(), b)):
+                out[pair] = out.get(pair, 0) + n
+    return out
+
+
 def _log_rates(counts: dict[tuple[str, str], int], even: float) -> list[float]:
     """Log-probability of each second character after each first one, mixed with even odds; rows of the flattened table are first characters."""
     size, out = len(ALPHABET), []
@@ -96,7 +110,7 @@ def _log_rates(counts: dict[tuple[str, str], int], even: float) -> list[float]:
 def fit_ratio(docs: DataFrame, text_col: str = "text", fit_rows: int = FIT_ROWS) -> list[float] | None:
     """Log-likelihood ratios, random over ordinary, of the pairs of the alphabet; None with nothing to fit on."""
     share = min(1.0, fit_rows / max(1, docs.count()))
-    some = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")).where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000))
+    some = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")).where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000)).distinct()
     values = F.concat(
         F.filter(F.regexp_extract_all("text", F.lit(ASSIGN), 2), lambda v: F.char_length(v) >= LEAST_ASSIGN),
         F.regexp_extract_all("text", F.lit(ACCESS_LONG), 0), F.regexp_extract_all("text", F.lit(HEX_LONG), 0))
@@ -107,24 +121,61 @@ def fit_ratio(docs: DataFrame, text_col: str = "text", fit_rows: int = FIT_ROWS)
     ordinary = _pair_counts(some.select(F.explode(F.regexp_extract_all(rest, F.lit(IDENTIFIER), 0)).alias("token")))
     if not ordinary:
         return None
-    return [a - b for a, b in zip(_log_rates(random, 0.5), _log_rates(ordinary, 0.001))]
+    return [max(-CLIP, min(CLIP, a - b)) for a, b in zip(_log_rates(random, 0.5), _log_rates(_with_capitals(ordinary), 0.1))]
+
+
+def _masked() -> Column:
+    """``text`` with blanks, as many as code points, in place of the spans in ``base``."""
+    return F.expr(f"""
+      CASE WHEN size(base) = 0 THEN text ELSE aggregate(base, struct(0 AS at, '' AS out),
+        (acc, s) -> struct(greatest(acc.at, s.end) AS at,
+          concat(acc.out, CASE WHEN s.start > acc.at THEN substr(text, acc.at + 1, s.start - acc.at) ELSE '' END,
+                 repeat(' ', greatest(0, s.end - greatest(acc.at, s.start)))) AS out),
+        acc -> concat(acc.out, substr(text, acc.at + 1))) END""")
+
+
+def _stretches(threshold: float) -> Column:
+    """For each of ``run_found`` the (start, end) within it of the stretches of parts that look random."""
+    score = f"""aggregate(transform(split(p, ''), c -> instr('{ALPHABET}', c) - 1), struct(-1 AS last, 0D AS sum),
+                  (acc, i) -> struct(i AS last, acc.sum + CASE WHEN acc.last < 0 THEN 0D ELSE element_at(__weights, acc.last * {len(ALPHABET)} + i + 1) END AS sum),
+                  acc -> acc.sum)"""
+    parts = f"transform(split(run, '[{SEPARATORS}]'), p -> struct(char_length(p) AS n, CASE WHEN p = '' THEN 0D ELSE {score} END AS score))"
+    ends = f"acc.sum + p.score <= 0 OR acc.sum + p.score < acc.best - {DROP}"
+    good = f"acc.best >= {threshold} + ln(greatest(char_length(run), 16) / 16D) AND acc.end - acc.start >= {LEAST_STRETCH}"
+    out = f"CASE WHEN {good} THEN array_append(acc.out, struct(acc.start AS start, acc.end AS end)) ELSE acc.out END"
+    return F.expr(f"""
+      transform(run_found, run -> aggregate({parts},
+        struct(0 AS at, 0D AS sum, 0D AS best, 0 AS start, 0 AS end, CAST(array() AS array<struct<start:int,end:int>>) AS out),
+        (acc, p) -> struct(
+          acc.at + p.n + 1 AS at,
+          CASE WHEN {ends} THEN greatest(p.score, 0D) ELSE acc.sum + p.score END AS sum,
+          CASE WHEN {ends} THEN greatest(p.score, 0D) ELSE greatest(acc.best, acc.sum + p.score) END AS best,
+          CASE WHEN NOT ({ends}) THEN acc.start WHEN p.score > 0 THEN acc.at ELSE acc.at + p.n + 1 END AS start,
+          CASE WHEN {ends} THEN acc.at + p.n + IF(p.score > 0, 0, 1) WHEN acc.sum + p.score > acc.best THEN acc.at + p.n ELSE acc.end END AS end,
+          CASE WHEN {ends} THEN {out} ELSE acc.out END AS out),
+        acc -> {out}))""")
 
 
 def with_spans(df: DataFrame, ratios: list[float] | None, threshold: float = THRESHOLD) -> DataFrame:
     """Add ``spans``, all spans in order, to rows with ``text`` and ``base``."""
     if ratios is None:
         return df.withColumn("spans", F.col("base"))
-    keep = df.columns
-    cut = df.withColumns(_matches("run", RUN))
-    size = len(ALPHABET)
-    weights = F.split(F.lit(",".join(f"{r:.6f}" for r in ratios)), ",").cast("array<double>")
-    seen = f"instr('{ALPHABET}', substr(x.run_found, {{}}, 1)) - 1"
-    score = (f"aggregate(sequence(2, char_length(x.run_found)), 0D, (sum, i) -> sum + element_at(__weights, "
-             f"({seen.format('i - 1')}) * {size} + {seen.format('i')} + 1))")
-    clear = "NOT exists(base, b -> b.start < acc.at + char_length(x.run_between) + char_length(x.run_found) AND b.end > acc.at + char_length(x.run_between))"
-    random = f"m. IS NOT NULL AND {clear} AND {score} >= {threshold} * (char_length(x.run_found) - 1)"
-    cut = cut.withColumn("__weights", weights)
-    return cut.select(*keep, F.array_sort(F.concat("base", _spans("run", 3, random))).alias("spans"))
+    keep, size = df.columns, len(ALPHABET)
+    # separators, and marks that are none, say nothing
+    marks = [not c.isalnum() for c in ALPHABET]
+    weights = F.split(F.lit(",".join("0" if marks[i // size] or marks[i % size] else f"{r:.6f}" for i, r in enumerate(ratios))), ",").cast("array<double>")
+    cut = df.withColumn("__masked", _masked())
+    cut = cut.withColumns(_matches("run", RUN, text_col="__masked")).withColumn("__weights", weights)
+    cut = cut.withColumn("run_random", _stretches(threshold))
+    found = F.expr(f"""
+      aggregate(arrays_zip(run_between, run_found, run_random), struct(0 AS at, CAST(array() AS {_SPANS}) AS spans),
+        (acc, x) -> struct(
+          acc.at + char_length(x.run_between) + coalesce(char_length(x.run_found), 0) AS at,
+          CASE WHEN size(x.run_random) > 0 THEN concat(acc.spans, transform(x.run_random, r -> named_struct(
+                 'start', acc.at + char_length(x.run_between) + r.start, 'kind', 3, 'end', acc.at + char_length(x.run_between) + r.end)))
+               ELSE acc.spans END AS spans),
+        acc -> acc.spans)""")
+    return cut.select(*keep, F.array_sort(F.concat("base", found)).alias("spans"))
 
 
 def scan(docs: DataFrame, text_col: str = "text", fit_rows: int = FIT_ROWS, threshold: float = THRESHOLD) -> DataFrame:
