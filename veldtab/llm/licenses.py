@@ -160,8 +160,10 @@ def covered(family: Column | None = None) -> Column:
     listed = [(name, ", ".join(f"'{p}'" for p in _pairs(_words(t)))) for name in FAMILIES for t in TEMPLATES[name]]
     known = F.expr("array(" + ", ".join(f"named_struct('family', '{name}', 'pairs', array({pairs}))" for name, pairs in listed) + ")")
     own = known if family is None else F.filter(known, lambda t: t["family"] == family)
-    share = F.transform(own, lambda t: F.size(F.array_intersect("pairs", t["pairs"])) / F.size(t["pairs"]))
-    return F.coalesce(F.array_max(share), F.lit(0.0))
+    every = F.expr("array(" + ", ".join(f"'{p}'" for p in sorted({p for name in FAMILIES for t in TEMPLATES[name] for p in _pairs(_words(t))})) + ")")
+    # the templates are compared with the few pairs that any of them has; the array of one keeps those from being looked up for each template
+    share = lambda held: F.array_max(F.transform(own, lambda t: F.size(F.array_intersect(held, t["pairs"])) / F.size(t["pairs"])))
+    return F.coalesce(F.get(F.transform(F.array(F.array_intersect("pairs", every)), share), F.lit(0)), F.lit(0.0))
 
 
 class LicenceModel:
@@ -216,13 +218,18 @@ def wrapped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.col(text_col)
     source = docs.where(F.lower(text).rlike(TELLING)).select(F.col(id_col).alias("id"), F.xxhash64(F.col(id_col), text).alias("key"), F.explode(F.split(text, BREAK)).alias("paragraph"), text.alias("whole"))
     blocks = source.where(F.col("paragraph").contains("\n") & F.lower("paragraph").rlike(TELLING))
-    blocks = with_terms(blocks).where(covered() >= CONFIRM).select("id", "key", "whole", "paragraph").distinct()
+    blocks = with_terms(blocks).where(covered() >= CONFIRM).select("id", "key", "whole", "paragraph")
+    # few rows with much work each: not left to be packed into few tasks by their size
+    blocks = blocks.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), *blocks.columns).distinct()
     # equal paragraphs of a text stand at the first of their places
     before = F.expr("substring(whole, 1, locate(paragraph, whole) - 1)")
     lines = blocks.select("id", "key", (F.size(F.split(before, "\n")) - 1).alias("first"), F.split("paragraph", "\n").alias("lines")).withColumn("n", F.size("lines"))
-    starts = lines.select("id", "key", "first", "lines", "n", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("start"))
+    told = lines.withColumn("told", F.transform("lines", lambda line: F.lower(line).rlike(TELLING)))
+    starts = told.select("id", "key", "first", "lines", "n", "told", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("start"))
+    # a stretch without a telling line cannot be confirmed
+    starts = starts.withColumn("ahead", F.array_position(F.expr("slice(told, start, n)"), F.lit(True))).where(F.col("ahead") > 0)
     sizes = F.array_distinct(F.when(F.col("start") == 1, F.array(F.col("n"))).otherwise(F.array().cast("array<int>")))
-    some = F.filter(F.array(*[F.lit(k) for k in range(2, SPAN + 1)]), lambda k: F.col("start") + k - 1 <= F.col("n"))
+    some = F.filter(F.array(*[F.lit(k) for k in range(2, SPAN + 1)]), lambda k: (F.col("start") + k - 1 <= F.col("n")) & (k >= F.col("ahead")))
     return starts.select("id", "key", "first", (F.col("first") + F.col("start") - 1).alias("place"), "lines", "start", F.explode(F.array_union(sizes, some)).alias("size")).select(
         "id", "key", "place", F.array_join(F.slice("lines", F.col("start"), F.col("size")), "\n").alias("paragraph"), "first", (F.col("place") + F.col("size") - 1).alias("last"))
 
