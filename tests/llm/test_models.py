@@ -166,3 +166,14 @@ def test_mixing_odd_rows(spark, odd, none):
     kept = mixing.sample_mix(odd, budget_share=2.0)
     assert kept.columns == odd.columns and kept.count() == sum(1 for r in rows if r.weight > 0)
     assert mixing.mix(none).count() == 0
+
+
+def test_packed_rows_come_back():
+    rng = np.random.default_rng(0)
+    for values in (np.empty(0, np.int64), np.array([0]), rng.integers(0, 1 << 48, 1000), rng.integers(0, 3, 70_000)):
+        assert (context_tree.unpack(context_tree.pack(values)) == values).all()
+        assert (context_tree.unpack_rising(context_tree.pack_rising(np.sort(values))) == np.sort(values)).all()
+    for words in ([b""], [b"", b"a", "ü".encode()], [b"x" * 100_000, b"y"]):
+        assert context_tree.unpack_words(context_tree.pack_words(words)) == words
+    gram = rng.integers(0, 1 << 48, 1000)
+    assert (context_tree.as_grams(context_tree.as_keys(gram)) == gram).all()

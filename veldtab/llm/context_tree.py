@@ -7,14 +7,17 @@ lower-cased bytes and an end mark, given the counts of the training rows; it is
 unigram model with the same training rows is computed beside it.
 
 How it is spread out:
-1. A pass over the texts in blocks counts contexts (as six-byte grams) and words; each block emits each of its distinct
-   grams and words once, with the count from its training rows.
-2. Grams are summed. Trees are weighted from depth 5 to 3 in groups that hold whole depth-3 contexts, each bounded by 256**3
-   grams; depth 2 is a table by two bytes and tree node; depths 1 and 0 are at most 65,280 rows and are finished on the driver.
-3. Every gram's log-probability, and every word's count, goes back to the blocks that hold it, where texts are scored. No model
-   is broadcast or held whole anywhere.
-
-Blocks are numbered by the task and the order within it, twice, so ``docs`` has to be read alike twice, like a table in files; pass
+1. A pass over the texts in blocks counts contexts (as six-byte grams) and words. Grams are dealt into parts that hold whole
+   depth-3 contexts, words into parts by their checksum; a block sends each part one packed row of its distinct grams or words,
+   with the counts from its training rows.
+2. Each part adds up the rows of its blocks as they arrive; it holds its distinct grams or words, not the blocks' lists. Trees are
+   weighted from depth 5 to 3 inside parts; depth 2 is a table by two bytes and tree node, of which every part gets the nodes it
+   has; depths 1 and 0 are at most 65,280 rows and are finished on the driver.
+3. Each part answers each packed row with the log-probabilities (as 32-bit floats) or counts of what the row asked for, and the
+   answers meet their block, where texts are scored. No model is broadcast or held whole anywhere.
+
+There is a part for each ``PART_BYTES`` of text, up to 65,536 parts; a single depth-3 context has at most 256**3 grams. Blocks are
+numbered by the task and the order within it, twice, so ``docs`` has to be read alike twice, like a table in files; pass
 ``materialise=True`` for anything else. A block that meets a gram it did not ask for raises an error.
 
 Null texts are empty: they hold the end mark only. Texts are never cut; one text is never spread over two blocks. Rows with a null
@@ -25,6 +28,8 @@ the base probability of each token is 1. An empty table gives an empty result; e
 from __future__ import annotations
 
 import math
+import struct
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -32,16 +37,17 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veldtab.llm.common import LOWER_ASCII, as_bytes, id_bucket, table
 from veldtab.sources.storage import write_through
 
 DEPTH = 5
-#: Grams are grouped by so many last context bytes: a group has at most 256**3 grams.
+#: Grams are dealt into parts by so many last context bytes.
 GROUPED = 3
-GROUP_GRAMS = 200_000
+PART_BYTES = 16 << 20
+MOST_PARTS = 1 << 16
 #: Stands for the end of a text, and before its first byte; never part of UTF-8.
 END = b"\xff"
 BLOCK_BYTES = 12 << 20
@@ -94,6 +100,54 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list, list
             number += 1
 
 
+def squeeze(data: bytes) -> bytes:
+    return struct.pack("<Q", len(data)) + pa.Codec("zstd", compression_level=1).compress(data, asbytes=True)
+
+
+def unsqueeze(packed: bytes) -> bytes:
+    return pa.Codec("zstd").decompress(packed[8:], struct.unpack_from("<Q", packed)[0], asbytes=True)
+
+
+def pack(values: np.ndarray) -> bytes:
+    """Non-negative numbers, compressed byte by byte: first the low bytes of all, then the next ones."""
+    width = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
+    return bytes([width]) + squeeze(values.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes())
+
+
+def unpack(packed: bytes) -> np.ndarray:
+    width, data = packed[0], np.frombuffer(unsqueeze(packed[1:]), np.uint8)
+    out = np.zeros((len(data) // width, 8), np.uint8)
+    out[:, :width] = data.reshape(width, -1).T
+    return out.view("<i8").ravel()
+
+
+def pack_rising(keys: np.ndarray) -> bytes:
+    return pack(np.diff(keys, prepend=0))
+
+
+def unpack_rising(packed: bytes) -> np.ndarray:
+    return np.cumsum(unpack(packed))
+
+
+def pack_words(words: list[bytes]) -> bytes:
+    """Words hold no white space, so a space parts them; the end is the empty word."""
+    return squeeze(b" ".join(words))
+
+
+def unpack_words(packed: bytes) -> list[bytes]:
+    return unsqueeze(packed).split(b" ")
+
+
+def as_keys(gram: np.ndarray) -> np.ndarray:
+    """Grams with the bytes of the depth-3 context in front, so that sorted keys stand context by context."""
+    gram = gram.astype(np.int64)
+    return (gram >> 8 & 0xFFFFFF) << 24 | gram >> 32 << 8 | gram & 0xFF
+
+
+def as_grams(key: np.ndarray) -> np.ndarray:
+    return (key >> 8 & 0xFFFF) << 32 | key >> 24 << 8 | key & 0xFF
+
+
 class GramCounts:
     """Sums of counts by gram; what is added is merged once there is as much of it as a few chunks give."""
 
@@ -116,29 +170,87 @@ class GramCounts:
         return self.keys[0], self.counts[0]
 
 
-def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(block, word, gram, n): distinct words (empty: the end) and grams of every block, n counted in training rows."""
-    names = ["block", "word", "gram", "n"]
-    for block, _, texts, train in _blocks(batches):
-        words: Counter = Counter()
-        others: set = set()
-        found = GramCounts()
-        for flag in (True, False):
-            chosen = [t for t, f in zip(texts, train) if f == flag]
-            for a, b in _chunks(list(map(len, chosen))):
-                unique, n = np.unique(grams(chosen[a:b]), return_counts=True)
-                found.add(unique, n * flag)
-            for t in chosen:
-                (words if flag else others).update(t.split())
-            if chosen:
-                (words if flag else others).update([b""] * (len(chosen) if flag else 1))
-        held = list(others - words.keys())
-        every = list(words) + held
-        n = list(words.values()) + [0] * len(held)
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(every), block)), pa.array(every, pa.binary()), pa.nulls(len(every), pa.int64()), pa.array(n, pa.int64())], names)
-        del words, others, held, every
-        gram, n = found.merged()
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(gram), block)), pa.nulls(len(gram), pa.binary()), pa.array(gram.astype(np.int64)), pa.array(n)], names)
+def _asked(parts: int):
+    """(kind, part, block, keys, counts): distinct grams and words (empty: the end) of every block by part, counted in training rows."""
+    names = ["kind", "part", "block", "keys", "counts"]
+
+    def dealt(key: np.ndarray, n: np.ndarray) -> Iterator[tuple[int, bytes, bytes]]:
+        part = ((key >> 24).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)).astype(np.int64) % parts
+        order = np.lexsort((key, part))
+        key, part, n = key[order], part[order], n[order]
+        first = np.flatnonzero(np.diff(part, prepend=-1))
+        for a, b in zip(first, np.append(first[1:], len(key))):
+            yield int(part[a]), pack_rising(key[a:b]), pack(n[a:b])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, _, texts, train in _blocks(batches):
+            words: Counter = Counter()
+            others: set = set()
+            found = GramCounts()
+            for flag in (True, False):
+                chosen = [t for t, f in zip(texts, train) if f == flag]
+                for a, b in _chunks(list(map(len, chosen))):
+                    unique, n = np.unique(grams(chosen[a:b]), return_counts=True)
+                    found.add(unique, n * flag)
+                for t in chosen:
+                    (words if flag else others).update(t.split())
+                if chosen:
+                    (words if flag else others).update([b""] * (len(chosen) if flag else 1))
+            by_part: dict[int, list[bytes]] = {}
+            for word in sorted(others | words.keys()):
+                by_part.setdefault(zlib.crc32(word) % parts, []).append(word)
+            rows = [("word", part, block, pack_words(held), pack(np.array([words[w] for w in held]))) for part, held in by_part.items()]
+            del words, others, by_part
+            gram, n = found.merged()
+            rows += [("gram", part, block, keys, counts) for part, keys, counts in dealt(as_keys(gram), n)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names)
+
+    return run
+
+
+def _runs(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple[tuple, pa.RecordBatch]]:
+    """Stretches of rows that are alike in some columns; a stretch over several batches comes in pieces."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        change = np.zeros(batch.num_rows, bool)
+        change[0] = True
+        for c in columns:
+            code = batch.column(c).dictionary_encode().indices.to_numpy(zero_copy_only=False)
+            change[1:] |= code[1:] != code[:-1]
+        first = np.flatnonzero(change)
+        for a, b in zip(first, np.append(first[1:], batch.num_rows)):
+            yield tuple(batch.column(c)[int(a)].as_py() for c in columns), batch.slice(a, b - a)
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(kind, part, keys, counts, n, seen): every part's distinct grams or words with their counts over all blocks, from rows sorted by part."""
+
+    def closed(at: tuple, sums) -> pa.RecordBatch:
+        if at[0] == "gram":
+            key, n = sums.merged()
+            keys, counts = pack_rising(key.astype(np.int64)), pack(n)
+        else:
+            held = sorted(sums)
+            n = np.array([sums[w] for w in held])
+            keys, counts = pack_words(held), pack(n)
+        return pa.RecordBatch.from_arrays([pa.array([c]) for c in (*at, keys, counts, int(n.sum()), int((n > 0).sum()))], ["kind", "part", "keys", "counts", "n", "seen"])
+
+    at, sums = None, None
+    for here, rows in _runs(batches, "kind", "part"):
+        if here != at:
+            if at:
+                yield closed(at, sums)
+            at, sums = here, GramCounts() if here[0] == "gram" else {}
+        for keys, counts in zip(rows.column("keys"), rows.column("counts")):
+            n = unpack(counts.as_py())
+            if at[0] == "gram":
+                sums.add(unpack_rising(keys.as_py()).astype(np.uint64), n)
+            else:
+                for word, c in zip(unpack_words(keys.as_py()), n.tolist()):
+                    sums[word] = sums.get(word, 0) + c
+    if at:
+        yield closed(at, sums)
 
 
 _LGAMMA = np.frompyfunc(math.lgamma, 1, 1)
@@ -206,25 +318,52 @@ def _decisions(gram: np.ndarray, n: np.ndarray, depths: list[int]) -> Iterator[t
         yield k, node, bit, levels
 
 
-def _weigh_group(group: pa.Table) -> pa.Table:
-    """(context, node, n0, n1, total) of the depth-3 nodes of a group that has all grams of its contexts."""
-    out = {"context": [], "node": [], "n0": [], "n1": [], "total": []}
-    for _, _, _, levels in _decisions(group["gram"].to_numpy(), group["n"].to_numpy(), list(range(DEPTH, GROUPED - 1, -1))):
-        top = levels[-1]
-        for name, value in (("context", top.ids >> 8), ("node", top.ids & 0xFF), ("n0", top.n0), ("n1", top.n1), ("total", top.total)):
-            out[name].append(value)
-    return pa.table({name: np.concatenate(v) for name, v in out.items()})
-
-
-def _predict_group(group: pa.Table) -> pa.Table:
-    """(gram, p): for each decision of the gram's last byte its probability at depth 3, all deeper contexts mixed in."""
-    gram, out = group["gram"].to_numpy(), []
-    for _, _, bit, levels in _decisions(gram, group["n"].to_numpy(), list(range(DEPTH, GROUPED - 1, -1))):
+def _part_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(part, pair, node, n0, n1, total): depth-3 nodes of each part, added up by their last two bytes."""
+    for batch in batches:
+        for part, keys, counts in zip(*(batch.column(c) for c in ("part", "keys", "counts"))):
+            gram = as_grams(unpack_rising(keys.as_py()))
+            for _, _, _, levels in _decisions(gram, unpack(counts.as_py()), list(range(DEPTH, GROUPED - 1, -1))):
+                top = levels[-1]
+                ids, row = np.unique(top.ids & 0xFFFFFF, return_inverse=True)
+                sums = [np.bincount(row, weights=v, minlength=len(ids)) for v in (top.n0, top.n1, top.total)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (np.full(len(ids), part.as_py()), ids >> 8, ids & 0xFF, *sums)], ["part", "pair", "node", "n0", "n1", "total"])
+
+
+def _values(gram: np.ndarray, n: np.ndarray, at: np.ndarray, a0: np.ndarray, a1: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """log10 probability of each gram's last byte given those before: depth 3 and deeper from the counts, the rest as ``a + b p`` by ``at`` (pair, tree node)."""
+    order = np.argsort(at)
+    at, a0, a1, b = at[order], a0[order], a1[order], b[order]
+    pair, value = gram >> 8 & 0xFFFF, np.zeros(len(gram))
+    for _, node, bit, levels in _decisions(gram, n, list(range(DEPTH, GROUPED - 1, -1))):
         p = levels[0].kt(bit)
         for level in levels[1:]:
             p = _blend(level.own[level.row], level.below[level.row], level.kt(bit), p)
-        out.append(p)
-    return pa.table({"gram": gram, "p": pa.ListArray.from_arrays(pa.array(np.arange(len(gram) + 1, dtype=np.int32) * 8), pa.array(np.stack(out, axis=1).ravel()))})
+        place = np.searchsorted(at, pair << 8 | node)
+        value += np.log10(np.where(bit == 1, a1[place], a0[place]) + b[place] * p)
+    return value
+
+
+def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(block, kind, keys, answers) for what the blocks asked, from rows sorted by part and step: sums, upper nodes, blocks' rows."""
+    sums, upper, table_ = None, [], None
+    for (kind, _, step), rows in _runs(batches, "kind", "part", "step"):
+        if step == 0:
+            sums, upper, table_ = (rows.column("keys")[0].as_py(), unpack(rows.column("counts")[0].as_py())), [], None
+        elif step == 1:
+            upper.append([rows.column(c).to_numpy() for c in ("at", "a0", "a1", "b")])
+        elif kind == "gram":
+            if table_ is None:
+                key = unpack_rising(sums[0])
+                table_ = key, _values(as_grams(key), sums[1], *map(np.concatenate, zip(*upper))).astype(np.float32).view(np.uint32)
+            asked = (unpack_rising(k.as_py()) for k in rows.column("keys"))
+            answers = [pack(table_[1][np.searchsorted(table_[0], key)]) for key in asked]
+        else:
+            if table_ is None:
+                table_ = dict(zip(unpack_words(sums[0]), sums[1].tolist()))
+            answers = [pack(np.array([table_[w] for w in unpack_words(k.as_py())])) for k in rows.column("keys")]
+        if step == 2:
+            yield pa.RecordBatch.from_arrays([rows.column("block"), rows.column("kind"), rows.column("keys"), pa.array(answers)], ["block", "kind", "keys", "answers"])
 
 
 class Nodes:
@@ -253,16 +392,10 @@ class TopLevels:
         self.root = Nodes(tables[0].sum(axis=0), tables[1].sum(axis=0), self.one.total.sum(axis=0))
 
 
-def weigh(counts: DataFrame) -> DataFrame:
-    """(gram, value): log10 probability of each gram's last byte given those before, from (gram, n).
-
-    A prediction at depth 3 is worked out inside groups; depths 2 to 0 turn it into ``a + b p`` with a and b by the last two bytes, the tree node and the bit.
-    """
-    groups = max(1, counts.count() // GROUP_GRAMS)
-    context = F.shiftright("gram", 8).bitwiseAND(F.lit((1 << 8 * GROUPED) - 1))
-    keyed = counts.select(F.pmod(F.xxhash64(context), F.lit(groups)).alias("part"), "gram", "n")
-    nodes = keyed.groupBy("part").applyInArrow(_weigh_group, "context long, node long, n0 double, n1 double, total double")
-    pairs = write_through(nodes.groupBy(F.col("context").bitwiseAND(F.lit(0xFFFF)).alias("pair"), "node").agg(*[F.sum(c).alias(c) for c in ("n0", "n1", "total")]), "context-tree-pairs")
+def upper_nodes(sums: DataFrame) -> DataFrame:
+    """(part, at, a0, a1, b): what turns a probability at depth 3 into the mixed one, for the pairs of last bytes and tree nodes of every part."""
+    nodes = write_through(sums.where("kind = 'gram'").mapInArrow(_part_nodes, "part long, pair long, node long, n0 double, n1 double, total double"), "context-tree-nodes")
+    pairs = write_through(nodes.groupBy("pair", "node").agg(*[F.sum(c).alias(c) for c in ("n0", "n1", "total")]), "context-tree-pairs")
 
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -270,27 +403,20 @@ def weigh(counts: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(pair & 0xFF), pa.array(node), pa.array(n0), pa.array(n1), pa.array(Nodes(n0, n1, below).total)], ["last", "node", "n0", "n1", "total"])
 
     ones = pairs.select("pair", "node", "n0", "n1", "total").mapInArrow(close, "last long, node long, n0 double, n1 double, total double")
-    sums = ones.groupBy("last", "node").agg(*[F.sum(c).alias(c) for c in ("n0", "n1", "total")]).toArrow()
-    shared = counts.sparkSession.sparkContext.broadcast(TopLevels(*[sums[c].to_numpy() for c in ("last", "node", "n0", "n1", "total")]))
-
-    def linear(group: pa.Table) -> pa.Table:
-        top, node, pair = shared.value, group["node"].to_numpy(), group["pair"][0].as_py()
-        two, last = Nodes(*[group[c].to_numpy() for c in ("n0", "n1", "total")]), pair & 0xFF
-        zero, every = np.zeros(len(node)), slice(None)
-        dense = {name: np.full(255, np.nan) for name in ("a0", "a1", "b")}
-        for bit in (0, 1):
-            dense[f"a{bit}"][node - 1] = top.root.add(node, bit, top.one.add((last, node), bit, two.add(every, bit, zero)))
-        dense["b"][node - 1] = (1 - top.root.share[node]) * (1 - top.one.share[last, node]) * (1 - two.share)
-        return pa.table({"pair": [pair]} | {name: pa.array([value.tolist()], pa.list_(pa.float64())) for name, value in dense.items()})
-
-    upper = pairs.groupBy("pair").applyInArrow(linear, "pair long, a0 array<double>, a1 array<double>, b array<double>")
-    lower = keyed.groupBy("part").applyInArrow(_predict_group, "gram long, p array<double>")
-    joined = lower.withColumn("pair", F.shiftright("gram", 8).bitwiseAND(F.lit(0xFFFF))).join(upper, "pair")
-    value = """aggregate(sequence(0, 7), 0D, (sum, k) -> sum + log10(
-        CASE WHEN shiftright(gram, 7 - k) & 1 = 1 THEN get(a1, shiftleft(1, k) + CAST(shiftright(gram & 255, 8 - k) AS INT) - 1)
-             ELSE get(a0, shiftleft(1, k) + CAST(shiftright(gram & 255, 8 - k) AS INT) - 1) END
-        + get(b, shiftleft(1, k) + CAST(shiftright(gram & 255, 8 - k) AS INT) - 1) * get(p, k)))"""
-    return joined.select("gram", F.expr(value).alias("value"))
+    top = ones.groupBy("last", "node").agg(*[F.sum(c).alias(c) for c in ("n0", "n1", "total")]).toArrow()
+    shared = sums.sparkSession.sparkContext.broadcast(TopLevels(*[top[c].to_numpy() for c in ("last", "node", "n0", "n1", "total")]))
+
+    def linear(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        top = shared.value
+        for batch in batches:
+            pair, node, n0, n1, below = (c.to_numpy() for c in batch.columns)
+            two, last, every = Nodes(n0, n1, below), pair & 0xFF, slice(None)
+            a = [top.root.add(node, bit, top.one.add((last, node), bit, two.add(every, bit, np.zeros(len(node))))) for bit in (0, 1)]
+            b = (1 - top.root.share[node]) * (1 - top.one.share[last, node]) * (1 - two.share)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (pair, node, *a, b)], ["pair", "node", "a0", "a1", "b"])
+
+    upper = pairs.select("pair", "node", "n0", "n1", "total").mapInArrow(linear, "pair long, node long, a0 double, a1 double, b double")
+    return nodes.select("part", "pair", "node").join(upper, ["pair", "node"]).select("part", (F.shiftleft("pair", 8) + F.col("node")).alias("at"), "a0", "a1", "b")
 
 
 class GramTable:
@@ -321,15 +447,16 @@ def score_texts(docs: DataFrame, training: Column, id_col: str = "doc_id", text_
     if materialise:
         source = write_through(source, "context-tree-texts")
     id_type = source.schema["doc_id"].dataType.simpleString()
-    asked = write_through(source.mapInArrow(_asked, "block long, word binary, gram long, n long"), "context-tree-counts")
-    words, keys = asked.where("word IS NOT NULL").select("block", "word", "n"), asked.where("gram IS NOT NULL").select("block", "gram", "n")
-    counts = write_through(keys.groupBy("gram").agg(F.sum("n").alias("n")), "context-tree-grams")
-    values = keys.select("block", "gram").join(weigh(counts), "gram").select("block", F.lit(None).cast("binary").alias("word"), "gram", "value")
-    same = Window.partitionBy("word")
-    known = write_through(words.select("block", "word", F.lit(None).cast("long").alias("gram"), F.sum("n").over(same).cast("double").alias("value"), "n",
-                                       (F.row_number().over(same.orderBy("block")) == 1).alias("first")), "context-tree-words")
-    # a word's total stands in as many rows as blocks hold it, one of which is the first
-    total, distinct = known.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("first") & (F.col("value") > 0), 1))).first()
+    held = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = min(MOST_PARTS, 1 + held // PART_BYTES)
+    asked = write_through(source.mapInArrow(_asked(parts), "kind string, part long, block long, keys binary, counts binary"), "context-tree-asked")
+    by_part = asked.select("kind", "part", "keys", "counts").repartition(parts, "kind", "part").sortWithinPartitions("kind", "part")
+    sums = write_through(by_part.mapInArrow(_summed, "kind string, part long, keys binary, counts binary, n long, seen long"), "context-tree-sums")
+    total, distinct = sums.where("kind = 'word'").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("seen"), F.lit(0))).first()
+    given = (sums.select("kind", "part", F.lit(0).alias("step"), "keys", "counts")
+             .unionByName(upper_nodes(sums).withColumns({"kind": F.lit("gram"), "step": F.lit(1)}), allowMissingColumns=True)
+             .unionByName(asked.select("kind", "part", F.lit(2).alias("step"), "block", "keys"), allowMissingColumns=True))
+    answers = given.repartition(parts, "kind", "part").sortWithinPartitions("kind", "part", "step").mapInArrow(_answered, "block long, kind string, keys binary, answers binary")
     divisor = math.log10(total + ADDED * (distinct + 1))
 
     def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -340,11 +467,19 @@ def score_texts(docs: DataFrame, training: Column, id_col: str = "doc_id", text_
     pa_id = to_arrow_type(source.schema["doc_id"].dataType)
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        is_word = right["word"].is_valid()
-        word, count = right["word"].filter(is_word).combine_chunks(), right["value"].filter(is_word).to_numpy()
-        is_gram = right["gram"].is_valid()
-        lookup = GramTable(right["gram"].filter(is_gram).to_numpy(), right["value"].filter(is_gram).to_numpy())
+        words: list[bytes] = []
+        found: dict[str, list[np.ndarray]] = {name: [np.empty(0, np.int64)] for name in ("count", "gram", "value")}
+        for kind, keys, answer in zip(right["kind"], right["keys"], right["answers"]):
+            if kind.as_py() == "word":
+                words += unpack_words(keys.as_py())
+                found["count"].append(unpack(answer.as_py()))
+            else:
+                found["gram"].append(as_grams(unpack_rising(keys.as_py())))
+                found["value"].append(unpack(answer.as_py()))
         del right
+        word, count = pa.array(words, pa.binary()), np.concatenate(found["count"])
+        lookup = GramTable(np.concatenate(found["gram"]), np.concatenate(found["value"]).astype(np.uint32).view(np.float32).astype(float))
+        del words, found
         log_base, known_word = np.log10(count + ADDED) - divisor, count > 0
         out = {"n_tokens": [], "n_known": [], "base_score": [], "score": []}
         for a, b in _chunks(pc.binary_length(left["text"]).to_pylist()):
@@ -366,8 +501,7 @@ def score_texts(docs: DataFrame, training: Column, id_col: str = "doc_id", text_
         return pa.table({"doc_id": left["doc_id"], "held_out": pa.array([not f for f in left["train"].to_pylist()])} | {name: np.concatenate(v) for name, v in out.items()})
 
     texts = source.mapInArrow(numbered, f"block long, doc_id {id_type}, text binary, train boolean")
-    both = values.unionByName(known.select("block", "word", "gram", "value"))
-    scored = texts.groupBy("block").cogroup(both.groupBy("block")).applyInArrow(
+    scored = texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         score, f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
 
