@@ -122,3 +122,18 @@ def test_report_counts_agree_with_the_report(spark):
         own = [r["drifted"] for r in report if r["check_type"] == kind]
         assert counts[kind] == (len(own), sum(own))
     assert all(drifted <= n for n, drifted in counts.values())
+
+
+def test_calibration_mends_shifted_probabilities(rows):
+    from catalog.modelling import I
+    planted = rows.crossJoin(rows.sparkSession.range(50).withColumnRenamed("id", "k")).select(
+        (F.col("a") / 10 + 0.05).alias("p"), (F.col("k") / 50 < F.pow(F.col("a") / 10 + 0.05, 2)).cast("int").alias("y"))
+    out = I.fit_calibration(planted).transform(planted)
+    gap = lambda c: out.groupBy("p").agg(F.abs(F.avg(c) - F.avg("y")).alias("gap")).agg(F.max("gap")).first()[0]
+    assert out.where(~F.col("p_calibrated").between(0, 1)).count() == 0 and gap("p_calibrated") < 0.05 < 0.2 < gap("p")
+
+
+def test_scoring_drift_covers_the_test_rows(spark):
+    from catalog.modelling import part, split
+    (row,) = run(spark, "k7_scoring_drift")
+    assert row["n_rows"] == part(split(spark, SF), "test").count() and 0 <= row["drift_ratio"] <= 1
