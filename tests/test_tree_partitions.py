@@ -1,11 +1,13 @@
-"""Blocks of the booster."""
+"""Blocks of the booster and the partitions of ``pyspark.ml`` fits."""
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from veldtab.operators import boosting as B
+from veldtab.operators import models as I
 
 
 @pytest.fixture(scope="module")
@@ -27,3 +29,20 @@ def test_feature_vectors_of_other_lengths_are_refused():
     with pytest.raises(ValueError):
         B.matrix(pa.array([[1.0, 2.0], None]))
     assert np.array_equal(B.matrix(pa.array([[1.0, None], [2.0, 3.0]])), [[1.0, np.nan], [2.0, 3.0]], equal_nan=True)
+
+
+def test_large_fits_are_dealt_into_bounded_partitions(spark, rows, monkeypatch):
+    vectors = rows.withColumn("features", array_to_vector("features")).withColumn("weight", F.lit(1.0)).coalesce(1)
+    seen = []
+
+    class Recorded(I.GBTClassifier):
+        def fit(self, df, params=None):
+            seen.append((sorted(df.columns), sorted(r["n"] for r in df.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect())))
+            return super().fit(df, params)
+
+    make = lambda: Recorded(featuresCol="features", labelCol="y", weightCol="weight", maxIter=2, maxDepth=2, seed=1)
+    whole = I.fit_spread(make(), vectors)
+    monkeypatch.setattr(I, "ROWS_PER_TASK", 300)
+    dealt = I.fit_spread(make(), vectors)
+    assert seen[0][1] == [6000] and seen[1] == (["features", "weight", "y"], [300] * 20)
+    assert np.allclose(whole.featureImportances.toArray(), dealt.featureImportances.toArray())
