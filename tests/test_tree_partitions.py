@@ -46,3 +46,15 @@ def test_large_fits_are_dealt_into_bounded_partitions(spark, rows, monkeypatch):
     dealt = I.fit_spread(make(), vectors)
     assert seen[0][1] == [6000] and seen[1] == (["features", "weight", "y"], [300] * 20)
     assert np.allclose(whole.featureImportances.toArray(), dealt.featureImportances.toArray())
+
+
+def test_trials_share_the_bins_of_their_rows(rows, monkeypatch):
+    made = []
+    binned = B.Boosting._binned
+    monkeypatch.setattr(B.Boosting, "_binned", lambda self, df: made.append(1) or binned(self, df))
+    trials = I.search(rows, "classification", "roc_auc", "y", ["id"], n_trials=3, n_estimators=(1, 2), folds=2)
+    assert len(made) == 2 and trials.where("state = 'complete'").count() == 3
+    members = I.fit_ensemble(rows, trials, "classification", 2, key_cols=["id"])
+    assert len(made) == 3
+    alone = I.fit_trees(rows, "classification", I.trial_params(I.best_trials(trials, 2)[1]), key_cols=["id"])
+    assert members[1].rounds == alone.rounds and members[1].base == alone.base and members[1].rate == alone.rate
