@@ -25,3 +25,11 @@ def test_the_written_holdout_is_the_stratified_one_and_reads_its_table_once(rows
     assert written.exceptAll(plain).isEmpty() and plain.exceptAll(written).isEmpty()
     assert all("/veldtab/" in f for f in written.inputFiles())
     assert "Range" not in written._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_rows_are_not_exchanged_for_the_encoding_of_the_other_folds(rows):
+    out = E.cross_fit_encoding(rows.withColumn("f", F.col("id") % 3), "c", "y", "f", "e")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    found = {(r["f"], r["c"]): r["e"] for r in out.select("f", "c", "e").distinct().collect()}
+    assert len(found) == 27 // (9 // 3) and all(0 <= e <= 1 for e in found.values())
