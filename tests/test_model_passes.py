@@ -33,3 +33,43 @@ def test_rows_are_not_exchanged_for_the_encoding_of_the_other_folds(rows):
     assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
     found = {(r["f"], r["c"]): r["e"] for r in out.select("f", "c", "e").distinct().collect()}
     assert len(found) == 27 // (9 // 3) and all(0 <= e <= 1 for e in found.values())
+
+
+@pytest.mark.parametrize("task", ["classification", "regression"])
+def test_small_trees_score_as_their_transform(rows, task):
+    vectors = VectorAssembler(inputCols=["a", "b"], outputCol=I.FEATURES).transform(rows)
+    model = I.tree_estimator(task, I.TreeParams(4, 3, 0.3, 1.0, 1.0, 1)).fit(vectors)
+    assert I.margin_sql(model, "_x")
+    value, plain = ("p", F.element_at(I.vector_to_array("probability"), 2)) if task == "classification" else ("yhat", F.col("prediction"))
+    mine = I.scored(model, vectors, task)
+    assert "UDF(features" in mine._jdf.queryExecution().optimizedPlan().toString()
+    assert mine.count() == 4000
+    both = model.transform(mine.withColumnRenamed(value, "_mine")).select(F.abs(F.col("_mine") - plain).alias("gap"), "_mine")
+    assert both.agg(F.max("gap")).first()[0] < 1e-12
+    assert both.select("_mine").distinct().count() > 3
+
+
+def test_large_or_categorical_trees_keep_their_transform(rows, monkeypatch):
+    vectors = VectorAssembler(inputCols=["a", "b"], outputCol=I.FEATURES).transform(rows)
+    model = I.tree_estimator("regression", I.TreeParams(2, 2)).fit(vectors)
+    monkeypatch.setattr(I, "EXPRESSION_NODES", 2)
+    assert I.margin_sql(model, "_x") is None
+    assert "yhat" in I.scored(model, vectors, "regression").columns
+
+
+def test_order_by_hash_is_that_of_the_hashes_and_can_stop(rows):
+    hashed = rows.withColumn("h", G.hash_order(5, ["id"])).select("id", "h").toPandas().sort_values("h")
+    places = G._ranked(rows.select("id"), 5, ["id"], "place")
+    assert [r["id"] for r in places.orderBy("place").collect()] == list(hashed["id"])
+    some = G._ranked(rows.select("id"), 5, ["id"], "place", 70)
+    assert [(r["place"], r["id"]) for r in some.orderBy("place").collect()] == list(enumerate(hashed["id"][:70]))
+
+
+def test_contributions_need_no_window_over_the_steps(rows):
+    score = lambda df: df.withColumn("value", F.col("a") * 2 + F.col("b"))
+    phi = G.contributions(rows.select("id", "a", "b"), score, ["a", "b"], ["id"], max_rows=300, background=16, draws=3)
+    assert "lag(" not in phi._jdf.queryExecution().optimizedPlan().toString()
+    assert phi.count() == 600
+    # A sum of features gives each feature the same whatever the order, so that both add up to the gap to the mean of the drawn rows.
+    total = phi.groupBy("row").agg(F.sum("phi").alias("s"), F.count("*").alias("n"))
+    assert total.where("n <> 2").isEmpty() and total.agg(F.countDistinct(F.round("s", 6))).first()[0] > 100
