@@ -164,3 +164,22 @@ def test_search_has_penalties(data):
     members = I.fit_ensemble(data, trials, "classification", 2, label="c", n_classes=3, key_cols=["id"])
     rows = I.ensemble_scores(members, data, "classification").collect()
     assert all(len(r.probs) == 3 and sum(r.probs) == pytest.approx(1) and r.p is None for r in rows)
+
+
+def test_small_models_of_values_score_inside_the_jvm_as_their_margins(spark, monkeypatch):
+    rows = spark.range(600, numPartitions=3).select("id", F.array(
+        F.when(F.col("id") % 13 == 0, float("nan")).when(F.col("id") % 17 == 0, None).when(F.col("id") % 19 == 0, float("-inf")).otherwise((F.col("id") * 31 % 101).cast("double")),
+        (F.col("id") % 7).cast("double")).alias("features"), (F.col("id") * 31 % 101 + F.col("id") % 7 * 5).cast("double").alias("y"))
+    model = B.fit_boosted(rows, B.Loss("squared"), B.TreeParams(4, 3, 0.5, 1.0, 1.0, 1), key_cols=["id"])
+    scored = model.transform(rows)
+    assert scored.columns == ["id", "features", "y", "yhat"]
+    assert "Python" not in scored._jdf.queryExecution().optimizedPlan().toString()
+    found = scored.collect()
+    x = np.array([[np.nan if v is None else v for v in r["features"]] for r in found])
+    assert [r["yhat"] for r in found] == model.margins(x)[:, 0].tolist() and len({r["yhat"] for r in found}) > 8
+    for odd in (F.array(F.lit(1.0)), F.lit(None).cast("array<double>")):
+        with pytest.raises(Exception, match="missing or differ in length"):
+            model.transform(rows.withColumn("features", F.when(F.col("id") == 5, odd).otherwise(F.col("features")))).agg(F.sum("yhat")).collect()
+    assert model.upto(0).transform(rows).select("yhat").distinct().count() == 1
+    monkeypatch.setattr(B, "EXPRESSION_NODES", 5)
+    assert [r["yhat"] for r in model.transform(rows).collect()] == [r["yhat"] for r in found]
