@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from veldtab.operators import diagnostics as G
 from veldtab.operators import models as I
 from veldtab.operators import prep as E
-from veldtab.operators.splits import stratified_holdout, written_holdout
+from veldtab.operators.metrics import ranking_metrics, score_counts
+from veldtab.operators.splits import stratified_holdout, with_cut_index, written_holdout
 
 
 @pytest.fixture(scope="module")
@@ -73,3 +74,26 @@ def test_contributions_need_no_window_over_the_steps(rows):
     # A sum of features gives each feature the same whatever the order, so that both add up to the gap to the mean of the drawn rows.
     total = phi.groupBy("row").agg(F.sum("phi").alias("s"), F.count("*").alias("n"))
     assert total.where("n <> 2").isEmpty() and total.agg(F.countDistinct(F.round("s", 6))).first()[0] > 100
+
+
+def test_ranking_small_trees_computes_each_slot_and_each_tree_once_a_row(rows):
+    vectors = VectorAssembler(inputCols=["a", "b"], outputCol=I.FEATURES).transform(rows)
+    model = I.tree_estimator("classification", I.TreeParams(4, 3, 0.3, 1.0, 1.0, 1)).fit(vectors)
+    counts = score_counts(I.scored(model, vectors, "classification"))
+    first = counts._jdf.queryExecution().optimizedPlan().toString()
+    tests = [line for line in first.splitlines() if "Filter" in line]
+    assert not any("UDF" in line or "CASE WHEN" in line for line in tests)
+    plain = [(float(r["probability"][1]), r["y"]) for r in model.transform(vectors).collect()]
+    found = ranking_metrics(I.scored(model, vectors, "classification")).first()["roc_auc"]
+    good, bad = [p for p, y in plain if y == 1], [p for p, y in plain if y == 0]
+    won = sum((a > b + 1e-12) + 0.5 * (abs(a - b) <= 1e-12) for a in set(good) for b in set(bad) for _ in range(good.count(a) * bad.count(b)))
+    assert abs(found - won / len(good) / len(bad)) < 1e-9
+
+
+def test_parts_of_a_split_are_read_without_a_function_of_the_cuts(rows):
+    odd = rows.withColumn("y", F.when(F.col("id") % 11 > 0, F.col("y")))
+    cut = with_cut_index(odd, "y", ["id"], 7, lambda n: [F.lit(10), F.lit(30), n], "part")
+    assert "lambda" not in cut.where("part = 1")._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r["y"], r["part"]): r["count"] for r in cut.groupBy("y", "part").count().collect() if r["y"] is not None and r["part"] < 2} == {
+        (0, 0): 10, (0, 1): 20, (1, 0): 10, (1, 1): 20}
+    assert [r["part"] for r in cut.where("y is null").select("part").distinct().collect()] == [3]
