@@ -27,6 +27,27 @@ def plan(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_spread_rows_are_exchanged_once_and_bounded(rows, monkeypatch):
+    monkeypatch.setattr(I, "ROWS_PER_TASK", 100)
+    out = I.spread(rows, {"id", "a"})
+    assert "Repartition" not in plan(out) and "Range" not in plan(out)
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 15 and max(sizes) <= 110
+    assert out.exceptAll(rows.select("id", "a")).isEmpty() and rows.select("id", "a").exceptAll(out).isEmpty()
+    monkeypatch.setattr(I, "ROWS_PER_TASK", 10 ** 6)
+    assert I.spread(rows, {"id"}) is rows
+
+
+def test_channels_of_the_scoring_drift_read_written_scores(spark, monkeypatch):
+    from catalog import modelling
+    from catalog.base import QUERIES
+    read, profile, check = [], modelling.W.build_profile, modelling.W.check_batches
+    monkeypatch.setattr(modelling.W, "build_profile", lambda df, *a, **k: read.append(df.inputFiles()) or profile(df, *a, **k))
+    monkeypatch.setattr(modelling.W, "check_batches", lambda p, df, *a, **k: read.append(df.inputFiles()) or check(p, df, *a, **k))
+    assert QUERIES["k7_scoring_drift"](spark, SF).count() == 1
+    assert len(read) == 2 and all(files and all("/veldtab/scored-" in f for f in files) for files in read)
+
+
 def scorer(rows):
     prep = I.fit_preparation(rows, FeatureRoles(tuple(NUM)), "y")
     model = I.tree_estimator("classification", I.TreeParams(4, 3, 0.3, 1.0, 1.0, 1)).fit(prep.transform(rows))
