@@ -38,6 +38,19 @@ def test_spread_rows_are_exchanged_once_and_bounded(rows, monkeypatch):
     assert I.spread(rows, {"id"}) is rows
 
 
+def test_baselines_exchange_once_and_read_written_scores(rows, monkeypatch):
+    vectors = VectorAssembler(inputCols=["a", "c"], outputCol=I.FEATURES).transform(rows)
+    calls, read, once, tune = [], [], I.exchanged_once, I.tune_threshold
+    monkeypatch.setattr(I, "exchanged_once", lambda df: calls.append(df.columns) or once(df))
+    monkeypatch.setattr(I, "tune_threshold", lambda df, *a, **k: read.append(df.inputFiles()) or tune(df, *a, **k))
+    monkeypatch.setattr(I, "ROWS_PER_TASK", 100)
+    out = I.evaluate_baselines(vectors.where("id % 3 > 0"), vectors.where("id % 3 = 0"), "classification", "roc_auc", trees=I.TreeParams(2, 2, 0.3, 1.0, 1.0, 1))
+    found = {(r["model"], r["metric"]): r["value"] for r in out.collect()}
+    assert calls == [["y", I.FEATURES]] and len(read) == 2
+    assert all(files and all("/veldtab/scored-" in f for f in files) for files in read)
+    assert found["default_trees", "roc_auc"] > 0.8 and found["logistic", "roc_auc"] > 0.8
+
+
 def test_channels_of_the_scoring_drift_read_written_scores(spark, monkeypatch):
     from catalog import modelling
     from catalog.base import QUERIES
