@@ -38,6 +38,17 @@ def test_spread_rows_are_exchanged_once_and_bounded(rows, monkeypatch):
     assert I.spread(rows, {"id"}) is rows
 
 
+def test_elimination_exchanges_its_rows_once(rows, monkeypatch):
+    vectors = VectorAssembler(inputCols=["a", "c", "u", "v", "w"], outputCol=I.FEATURES).transform(
+        rows.withColumns({"u": F.col("id") % 7, "v": F.col("id") % 11, "w": F.col("id") % 3}))
+    calls, once = [], I.exchanged_once
+    monkeypatch.setattr(I, "exchanged_once", lambda df: calls.append(df.columns) or once(df))
+    monkeypatch.setattr(I, "ROWS_PER_TASK", 100)
+    slots, history = I.select_features(vectors, "classification", "roc_auc", "y", ["id"], params=I.TreeParams(2, 2, 0.3, 1.0, 1.0, 1))
+    assert calls == [["y", I.FEATURES, "fold"]]
+    assert sorted(r["n_features"] for r in history.collect()) == [3, 4, 5] and 0 in slots
+
+
 def test_baselines_exchange_once_and_read_written_scores(rows, monkeypatch):
     vectors = VectorAssembler(inputCols=["a", "c"], outputCol=I.FEATURES).transform(rows)
     calls, read, once, tune = [], [], I.exchanged_once, I.tune_threshold
