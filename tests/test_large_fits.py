@@ -78,6 +78,32 @@ def scorer(rows):
     return prep, model
 
 
+def test_scores_from_columns_are_those_from_vectors(rows):
+    prep, model = scorer(rows)
+    odd = rows.withColumns({"a": F.when(F.col("id") % 13 == 0, F.lit(float("nan"))).otherwise(F.col("a")), "c": F.when(F.col("id") % 7 > 0, F.col("c"))})
+    assert prep.slots == ["n_a", "n_b", "n_c"]
+    found, plain = (I.scored(model, prep.transform(odd), "classification", slots).select("id", "probs", "p", "pred") for slots in (prep.slots, None))
+    assert "UDF" in plan(plain) and "UDF" not in plan(found)
+    assert found.exceptAll(plain).isEmpty() and found.count() == 1500
+    hot = I.fit_preparation(rows.withColumn("k", F.col("c").cast("string")), FeatureRoles(("a",), ("k",)), "y")
+    assert hot.slots is None
+
+
+def test_mean_curves_need_neither_places_nor_vectors(rows):
+    prep, model = scorer(rows)
+    score = lambda df: I.scored(model, prep.transform(df), "classification", prep.slots).withColumn("value", F.col("p"))
+    curves = G.individual_curves(rows, score, NUM, ["id"], points=4)
+    assert sorted({r["row"] for r in curves.select("row").distinct().collect()}) == list(range(1500))
+    mean = G.partial_dependence(curves)
+    assert "md5" not in plan(mean) and "Window" not in plan(mean) and "Join" not in plan(mean)
+    found = {(r["feature"], r["grid"]): (r["mean_value"], r["n_rows"]) for r in mean.collect()}
+    grid = G.dependence_grid(rows, NUM, 4)
+    assert set(found) == {(f, v) for f, values in grid.items() for v in values}
+    for f, v in [("a", grid["a"][2]), ("c", grid["c"][1])]:
+        plain = model.transform(prep.transform(rows.withColumn(f, F.lit(v)))).agg(F.avg(F.element_at(I.vector_to_array("probability"), 2))).first()[0]
+        assert found[f, v] == (pytest.approx(plain, abs=1e-12), 1500)
+
+
 def test_likelihoods_of_all_lambdas_come_from_one_pass(spark, monkeypatch):
     x = [None, -3.5, -0.25, 0.0, 0.5, 2.0, 7.0, 40.0] * 5 + [1.0, None]
     df = spark.createDataFrame([(v, 4.0, None) for v in x], "x double, same double, none double").repartition(5)
