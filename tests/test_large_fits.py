@@ -104,6 +104,21 @@ def test_mean_curves_need_neither_places_nor_vectors(rows):
         assert found[f, v] == (pytest.approx(plain, abs=1e-12), 1500)
 
 
+@pytest.mark.parametrize("at_once", [45, 2])
+def test_interactions_score_each_choice_of_switched_features_once(rows, monkeypatch, at_once):
+    monkeypatch.setattr(G, "PAIRS_AT_ONCE", at_once)
+    sizes = []
+
+    def score(df):
+        sizes.append(df.count())
+        return df.withColumn("value", F.col("a") * F.col("c") + F.col("b"))
+
+    found = {(r["a"], r["b"]): r["strength"] for r in G.interaction_strength(rows.na.fill(0.0), score, NUM, ["id"], background=16).collect()}
+    assert sizes == ([1500 * 7] if at_once == 45 else [1500 * 6, 1500 * 4])
+    assert set(found) == {("a", "b"), ("a", "c"), ("b", "c")}
+    assert found["a", "c"] > 1 and found["a", "b"] == pytest.approx(0, abs=1e-9) and found["b", "c"] == pytest.approx(0, abs=1e-9)
+
+
 def test_likelihoods_of_all_lambdas_come_from_one_pass(spark, monkeypatch):
     x = [None, -3.5, -0.25, 0.0, 0.5, 2.0, 7.0, 40.0] * 5 + [1.0, None]
     df = spark.createDataFrame([(v, 4.0, None) for v in x], "x double, same double, none double").repartition(5)
