@@ -137,3 +137,12 @@ def test_likelihoods_of_all_lambdas_come_from_one_pass(spark, monkeypatch):
         wanted = -len(known) / 2 * math.log(np.var([one(v, lam) for v in known])) + (lam - 1) * logs
         assert found["x", lam] == pytest.approx(wanted, rel=1e-10)
     assert found["same", 1.0] == found["none", 1.0] == -math.inf
+
+
+def test_a_training_run_reads_written_scores(rows, monkeypatch):
+    from veldtab.plans import training as R
+    read, tune, suite = [], R.H.tune_threshold, R.M.classification_suite
+    monkeypatch.setattr(R.H, "tune_threshold", lambda df, *a, **k: read.append(df.inputFiles()) or tune(df, *a, **k))
+    monkeypatch.setattr(R.M, "classification_suite", lambda df, *a, **k: read.append(df.inputFiles()) or suite(df, *a, **k))
+    R.train_classifier(rows, "y", ["id"], roles=FeatureRoles(("a", "c")), params=I.TreeParams(2, 2, 0.3, 1.0, 1.0, 1))
+    assert len(read) == 2 and all(files and all("/veldtab/scored-" in f for f in files) for files in read)
